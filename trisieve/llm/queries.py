@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trisieve.llm import p4_forms, p6_copies
+from trisieve.llm import p3_neighbours, p4_forms, p6_copies, p7_overlap
 from trisieve.runtime import read
 
 TEXTS = ["anchor", "positive", "hard_negative"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": lambda s, d: p3_neighbours.neighbour_pairs(read(s, d, "general_vec"), "vec_id", "field_name", "vec"),
+    "p3_nearest": lambda s, d: p3_neighbours.nearest(read(s, d, "general_vec"), "vec_id", "field_name", "vec"),
     "p4_found": lambda s, d: p4_forms.look_alike_pairs(read(s, d, "triplet"), "data_id", TEXTS[:2]),
     "p4_forms": lambda s, d: p4_forms.consistent_forms(read(s, d, "triplet"), "data_id", TEXTS[:2]).select("id", "field_name", "form"),
     "p6_found": lambda s, d: p6_copies.copies(read(s, d, "triplet"), "data_id", TEXTS),
     "p6_records": lambda s, d: p6_copies.distinct_records(read(s, d, "triplet"), "data_id", TEXTS),
+    "p7_found": lambda s, d: p7_overlap.overlap_pairs(read(s, d, "rag_qa_hybrid_train"), "data_id", "split", TEXTS[:2]),
+    "p7_report": lambda s, d: p7_overlap.overlap_report(read(s, d, "rag_qa_hybrid_train"), "data_id", "split", "source", TEXTS[:2]),
 }
 
 ORACLE: dict[str, str] = {}
