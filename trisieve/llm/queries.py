@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trisieve.llm import p3_neighbours, p4_forms, p6_copies, p7_overlap
+from trisieve.llm import p2_encoding, p3_neighbours, p4_forms, p6_copies, p7_overlap
 from trisieve.runtime import read
 
 TEXTS = ["anchor", "positive", "hard_negative"]
 
+
+def _encoded(s: SparkSession, d: str) -> list[tuple[str, DataFrame, list[str]]]:
+    return [("english_rag_qa_triplet", read(s, d, "english_rag_qa_triplet"), TEXTS[:2]), ("triplet", read(s, d, "triplet"), TEXTS[2:])]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": lambda s, d: p2_encoding.garbled_ids(_encoded(s, d)),
+    "p2_repaired": lambda s, d: p2_encoding.garbled_values(_encoded(s, d)),
     "p3_found": lambda s, d: p3_neighbours.neighbour_pairs(read(s, d, "general_vec"), "vec_id", "field_name", "vec"),
     "p3_nearest": lambda s, d: p3_neighbours.nearest(read(s, d, "general_vec"), "vec_id", "field_name", "vec"),
     "p4_found": lambda s, d: p4_forms.look_alike_pairs(read(s, d, "triplet"), "data_id", TEXTS[:2]),
