@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trisieve.llm import p2_encoding, p3_neighbours, p4_forms, p6_copies, p7_overlap
+from trisieve.llm import p1_markup, p2_encoding, p3_neighbours, p4_forms, p6_copies, p7_overlap
 from trisieve.runtime import read
 
 TEXTS = ["anchor", "positive", "hard_negative"]
@@ -17,6 +17,8 @@ def _encoded(s: SparkSession, d: str) -> list[tuple[str, DataFrame, list[str]]]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": lambda s, d: p1_markup.marked_ids(read(s, d, "general"), "data_id", "source", TEXTS[:2]),
+    "p1_clean": lambda s, d: p1_markup.clean_values(read(s, d, "general"), "data_id", "source", TEXTS[:2]),
     "p2_found": lambda s, d: p2_encoding.garbled_ids(_encoded(s, d)),
     "p2_repaired": lambda s, d: p2_encoding.garbled_values(_encoded(s, d)),
     "p3_found": lambda s, d: p3_neighbours.neighbour_pairs(read(s, d, "general_vec"), "vec_id", "field_name", "vec"),
