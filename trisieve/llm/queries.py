@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trisieve.llm import p1_markup, p2_encoding, p3_neighbours, p4_forms, p6_copies, p7_overlap
+from trisieve.llm import p1_markup, p2_encoding, p3_neighbours, p4_forms, p5_pieces, p6_copies, p7_overlap, p8_packing, p9_mixing, p10_levels
 from trisieve.runtime import read
 
 TEXTS = ["anchor", "positive", "hard_negative"]
@@ -25,10 +25,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_nearest": lambda s, d: p3_neighbours.nearest(read(s, d, "general_vec"), "vec_id", "field_name", "vec"),
     "p4_found": lambda s, d: p4_forms.look_alike_pairs(read(s, d, "triplet"), "data_id", TEXTS[:2]),
     "p4_forms": lambda s, d: p4_forms.consistent_forms(read(s, d, "triplet"), "data_id", TEXTS[:2]).select("id", "field_name", "form"),
+    "p5_found": lambda s, d: p5_pieces.oversized_ids(read(s, d, "general"), "data_id", "positive"),
+    "p5_pieces": lambda s, d: p5_pieces.split_items(read(s, d, "general"), "data_id", "positive"),
     "p6_found": lambda s, d: p6_copies.copies(read(s, d, "triplet"), "data_id", TEXTS),
     "p6_records": lambda s, d: p6_copies.distinct_records(read(s, d, "triplet"), "data_id", TEXTS),
     "p7_found": lambda s, d: p7_overlap.overlap_pairs(read(s, d, "rag_qa_hybrid_train"), "data_id", "split", TEXTS[:2]),
     "p7_report": lambda s, d: p7_overlap.overlap_report(read(s, d, "rag_qa_hybrid_train"), "data_id", "split", "source", TEXTS[:2]),
+    "p8_containers": lambda s, d: p8_packing.pack_documents(read(s, d, "documents"), "doc_id", "text"),
+    "p8_fill": lambda s, d: p8_packing.fill_report(p8_packing.pack_documents(read(s, d, "documents"), "doc_id", "text")),
+    "p9_chosen": lambda s, d: p9_mixing.mix(read(s, d, "documents"), read(s, d, "mix_targets"))[0],
+    "p9_shares": lambda s, d: p9_mixing.mix(read(s, d, "documents"), read(s, d, "mix_targets"))[1],
+    "p10_found": lambda s, d: p10_levels.reading_levels(read(s, d, "documents"), read(s, d, "doc_levels")).select("doc_id", "reading_level"),
+    "p10_profile": lambda s, d: p10_levels.level_profile(p10_levels.reading_levels(read(s, d, "documents"), read(s, d, "doc_levels"))),
 }
 
 ORACLE: dict[str, str] = {}
