@@ -1,10 +1,12 @@
 """Problem 7: the same or almost the same values in different splits.
 
-Method: content-defined chunks. A rolling hash cuts the normalised words of each distinct value into
+Method: content-defined chunks. Rolling hashes cut the normalised words of each distinct value into
 chunks, chunk digests are joined across the splits, and shared chunk lengths are summed into overlap
-fractions. Only each value's rarest chunks enter the join: whatever the pair, if it shares at least
-MIN_OVERLAP of the longer value, its rarest shared chunk is among them, so no such pair is lost. An
-exact word edit distance then decides.
+fractions. Only each value's rarest chunks enter the join: whatever the pair, if chunks at about the same
+place make up at least MIN_OVERLAP of the longer value, the rarest of them is among these, so no such pair
+is lost. The values are cut CUTTINGS times with different hashes, since a few edits may spoil most chunks of
+one cutting, but hardly of all: of random pairs with the most edits allowed, about 1 in 500 has less
+overlap in each. An exact word edit distance then decides.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,9 +24,10 @@ from trisieve.runtime import materialize, pair_join, spread
 
 #: Words in the rolling window, and one cut in so many positions.
 WINDOW = 2
-DIVISOR = 3
+DIVISOR = 5
+CUTTINGS = 3
 #: Share of the longer value's words that the shared chunks of a candidate pair hold at least.
-MIN_OVERLAP = 0.2
+MIN_OVERLAP = 0.25
 
 _PRIME = 1_000_003
 _MASK = (1 << 64) - 1
@@ -34,37 +38,40 @@ def words_of(c: str) -> Column:
     return F.array_join(F.regexp_extract_all(F.lower(F.col(c)), F.lit(r"([\p{L}\p{N}]+)"), 1), " ")
 
 
-def chunk(words: list[str]) -> list[tuple[int, int]]:
-    """(digest, words) of each chunk; the k-th repetition of a chunk has a digest of its own."""
+def chunk(words: list[str], cutting: int = 0) -> list[tuple[int, int, int]]:
+    """(digest, words, first word) of each chunk; the k-th repetition of a chunk has a digest of its own."""
     out, seen, start = [], Counter(), 0
-    window = [zlib.crc32(w.encode()) for w in words]
+    hashes = [zlib.crc32(w.encode()) for w in words]
     drop = pow(_PRIME, WINDOW, 1 << 64)
     rolling = 0
-    for i, h in enumerate(window):
-        rolling = (rolling * _PRIME + h - (window[i - WINDOW] * drop if i >= WINDOW else 0)) & _MASK
-        mixed = (rolling ^ (rolling >> 29)) * 0xBF58476D1CE4E5B9 & _MASK
-        if (mixed >> 40) % DIVISOR == 0 or i == len(words) - 1:
+    for i, h in enumerate(hashes):
+        rolling = (rolling * _PRIME + h - (hashes[i - WINDOW] * drop if i >= WINDOW else 0)) & _MASK
+        mixed = ((rolling ^ (rolling >> 29)) + cutting * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 & _MASK
+        if ((mixed ^ (mixed >> 32)) * 0x94D049BB133111EB & _MASK) >> 40 < (1 << 24) // DIVISOR or i == len(words) - 1:
             body = " ".join(words[start : i + 1]).encode()
             n = seen[body]
             seen[body] += 1
-            digest = zlib.crc32(body, n) | zlib.adler32(body + b"%d" % n) << 32
-            digest = (digest ^ (digest >> 31)) * 0x94D049BB133111EB & _MASK
-            out.append((digest - (1 << 63), i + 1 - start))
+            body += b"%d %d" % (n, cutting)
+            digest = (zlib.crc32(body) | zlib.crc32(body, 0x5BD1E995) << 32) * 0x94D049BB133111EB & _MASK
+            out.append((digest - (1 << 63), i + 1 - start, start))
             start = i + 1
     return out
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        cls, digests, sizes, totals = [], [], [], []
-        for key, text in zip(pdf["cls"], pdf["words"], strict=True):
+        rows = []
+        for key, field, text, train, evals in pdf.itertuples(index=False):
             words = text.split(" ")
-            for digest, n in chunk(words):
-                cls.append(key)
-                digests.append(digest)
-                sizes.append(n)
-                totals.append(len(words))
-        yield pd.DataFrame({"cls": cls, "digest": digests, "n": sizes, "total": totals})
+            for cutting in range(CUTTINGS):
+                rows += [(key, field, cutting, digest, n, at, len(words), train > 0, evals > 0) for digest, n, at in chunk(words, cutting)]
+        yield pd.DataFrame(rows, columns=["cls", "field_name", "cutting", "digest", "n", "at", "total", "train", "eval"]).astype({"cutting": "int32", "n": "int32", "at": "int32", "total": "int32"})
+
+
+def overlap(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]], longer: int) -> float:
+    """Summed length of the chunks that two values share at about the same place, as a share of the longer."""
+    places = {digest: at for digest, _, at in a}
+    return sum(n for digest, n, at in b if digest in places and abs(places[digest] - at) <= longer // 10) / max(1, longer)
 
 
 def within(a: list[str], b: list[str], most: int) -> bool:
@@ -103,10 +110,15 @@ def within(a: list[str], b: list[str], most: int) -> bool:
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        keep = []
+        cut = lru_cache(maxsize=20_000)(lambda text: [chunk(text.split(" "), c) for c in range(CUTTINGS)])
+        keep, shares = [], []
         for x, y in zip(pdf["words_eval"], pdf["words_train"], strict=True):
             a, b = x.split(" "), y.split(" ")
-            keep.append(within(a, b, max(len(a), len(b)) // 10))
+            longer = max(len(a), len(b))
+            share = max(overlap(p, q, longer) for p, q in zip(cut(x), cut(y), strict=True))
+            keep.append(share >= MIN_OVERLAP and within(a, b, longer // 10))
+            shares.append(share)
+        pdf["overlap"] = shares
         yield pdf.loc[keep, ["field_name", "cls_eval", "cls_train", "overlap"]]
 
 
@@ -122,28 +134,22 @@ def _classes(df: DataFrame, id_col: str, split_col: str, fields: list[str], trai
 def class_links(classes: DataFrame) -> DataFrame:
     """(field_name, cls_eval, cls_train, overlap): classes of almost equal values in different splits."""
     texts = classes.filter("words <> ''")
-    chunks = materialize(spread(texts.select("cls", "words")).mapInPandas(_chunks, "cls binary, digest bigint, n int, total int").join(texts.select("cls", "field_name", "n_train", "n_eval"), "cls"), "p7k")
+    rows = "cls binary, field_name string, cutting int, digest bigint, n int, at int, total int, train boolean, eval boolean"
+    chunks = materialize(spread(texts.select("cls", "field_name", "words", "n_train", "n_eval")).mapInPandas(_chunks, rows), "p7k")
     on = ["field_name", "digest"]
-    rarity = chunks.groupBy(*on).agg(F.count_if(F.col("n_train") > 0).alias("in_train"), F.count_if(F.col("n_eval") > 0).alias("in_eval"))
-    ranked = chunks.join(rarity, on)
-    # chunks of the other split only can be shared; the rarest come first, in one order for all values
-    tail = F.sum(F.when((F.col("in_train") > 0) & (F.col("in_eval") > 0), F.col("n")).otherwise(0)).over(
-        Window.partitionBy("cls").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), "digest").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    prefix = ranked.withColumn("tail", tail).filter(f"in_train > 0 AND in_eval > 0 AND tail >= {MIN_OVERLAP} * total")
-    prefix = materialize(prefix.select("cls", *on, "total", "n_train", "n_eval"), "p7p")
-    left = prefix.filter("n_train > 0").select(*on, F.col("cls").alias("cls_train"), F.col("total").alias("total_train"))
-    right = prefix.filter("n_eval > 0").select(*on, F.col("cls").alias("cls_eval"), F.col("total").alias("total_eval"))
+    rarity = chunks.groupBy(*on).agg(F.count_if("train").alias("in_train"), F.count_if("eval").alias("in_eval")).filter("in_train > 0 AND in_eval > 0")
+    # only chunks of both splits can be shared; the rarest come last here, in one order for all values
+    rank = Window.partitionBy("cls", "cutting").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), "digest").rowsBetween(Window.unboundedPreceding, 0)
+    prefix = chunks.join(rarity, on).withColumn("upto", F.sum("n").over(rank)).filter(F.col("upto") >= MIN_OVERLAP * F.col("total"))
+    prefix = materialize(prefix.select("cls", *on, "total", "at", "train", "eval"), "p7p")
+    left = prefix.filter("train").select(*on, F.col("cls").alias("cls_train"), F.col("total").alias("total_train"), F.col("at").alias("at_train"))
+    right = prefix.filter("eval").select(*on, F.col("cls").alias("cls_eval"), F.col("total").alias("total_eval"), F.col("at").alias("at_eval"))
     sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter("cls_train <> cls_eval AND abs(total_train - total_eval) <= floor(greatest(total_train, total_eval) / 10)")
-    candidates = near.select("field_name", "cls_eval", "cls_train", F.greatest("total_eval", "total_train").alias("longer")).distinct()
-    # all shared chunk lengths of the candidates
-    arrays = lambda x: chunks.groupBy(F.col("cls").alias(f"cls_{x}")).agg(F.map_from_entries(F.collect_list(F.struct("digest", "n"))).alias(f"chunks_{x}"))
-    shared = candidates.join(arrays("eval"), "cls_eval").join(arrays("train"), "cls_train")
-    overlap = F.aggregate(F.map_values(F.map_filter("chunks_eval", lambda k, v: F.map_contains_key("chunks_train", k))), F.lit(0), lambda x, y: x + y) / F.col("longer")
-    linked = shared.withColumn("overlap", overlap).filter(F.col("overlap") >= MIN_OVERLAP).select("field_name", "cls_eval", "cls_train", "overlap")
+    most = F.floor(F.greatest("total_train", "total_eval") / 10)
+    near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter((F.col("cls_train") != F.col("cls_eval")) & (F.abs(F.col("total_train") - F.col("total_eval")) <= most) & (F.abs(F.col("at_train") - F.col("at_eval")) <= most))
+    candidates = near.select("field_name", "cls_eval", "cls_train").distinct()
     text = lambda x: classes.select(F.col("cls").alias(f"cls_{x}"), F.col("words").alias(f"words_{x}"))
-    checked = spread(linked.join(text("eval"), "cls_eval").join(text("train"), "cls_train")).mapInPandas(_verify, "field_name string, cls_eval binary, cls_train binary, overlap double")
+    checked = candidates.join(text("eval"), "cls_eval").join(text("train"), "cls_train").mapInPandas(_verify, "field_name string, cls_eval binary, cls_train binary, overlap double")
     same = classes.filter("n_train > 0 AND n_eval > 0").select("field_name", F.col("cls").alias("cls_eval"), F.col("cls").alias("cls_train"), F.lit(1.0).alias("overlap"))
     return materialize(checked.unionByName(same), "p7l")
 
