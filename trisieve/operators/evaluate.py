@@ -102,14 +102,14 @@ def holdout_rows(shards: DataFrame, train: DataFrame, requested: int, groups: in
     """(shard, query, positive, negative): hash-ranked rows of evenly spaced row groups, query-disjoint from training.
 
     `shards` has shard, query, positive, negative. Each shard gives `requested` rows with equal quotas
-    for its groups, none for a quota of 0; a query is used once over all. Only the quota's rows of each
-    group, and as many more as could be taken up before it, go to the final sequential choice: at most
-    requested x shards x groups rows.
+    for its groups, none for a quota of 0; a query is used once over all. Of each group only as many rows
+    as could be needed, even if all queries chosen before were among them, go to the final sequential
+    choice: at most requested x shards of each group.
     """
     key = digest(casefold(unescaped(F.col("query"))))
     quota = quotas(requested, groups)
-    parts = None
-    for (shard,) in sorted(shards.select("shard").distinct().collect()):  # one name a shard file
+    parts, names = None, sorted(r.shard for r in shards.select("shard").distinct().collect())  # one name a shard file
+    for shard in names:
         rows = even_groups(shards.filter(F.col("shard") == shard), order_by, group_size, groups)
         place = F.dense_rank().over(Window.orderBy("row_group")) - 1
         places = rows.select("row_group").distinct().withColumn("place", place)  # `groups` rows
@@ -124,7 +124,7 @@ def holdout_rows(shards: DataFrame, train: DataFrame, requested: int, groups: in
     own = Window.partitionBy("shard", "place", "key").orderBy("rank", "positive", "negative")
     first = fresh.withColumn("_own", F.row_number().over(own)).filter("_own = 1")
     order = F.row_number().over(Window.partitionBy("shard", "place").orderBy("rank", "positive", "negative"))
-    few = materialize(first.withColumn("_at", order).filter(F.col("_at") <= requested * groups + 1).select("shard", "place", "query", "positive", "negative", "key", "rank"), "holdout")
+    few = materialize(first.withColumn("_at", order).filter(F.col("_at") <= requested * len(names)).select("shard", "place", "query", "positive", "negative", "key", "rank"), "holdout")
     chosen = few.groupBy(F.lit(0)).applyInPandas(_pick(quota), few.schema)
     return chosen.select("shard", "query", "positive", "negative")
 
