@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trisieve.functions.keys import digest, stable_id
 from trisieve.functions.text import casefold, is_blank, unescaped
@@ -125,7 +126,7 @@ def holdout_rows(shards: DataFrame, train: DataFrame, requested: int, groups: in
     first = fresh.withColumn("_own", F.row_number().over(own)).filter("_own = 1")
     order = F.row_number().over(Window.partitionBy("shard", "place").orderBy("rank", "positive", "negative"))
     few = materialize(first.withColumn("_at", order).filter(F.col("_at") <= requested * len(names)).select("shard", "place", "query", "positive", "negative", "key", "rank"), "holdout")
-    chosen = few.groupBy(F.lit(0)).applyInPandas(_pick(quota), few.schema)
+    chosen = few.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_pick(quota), T.StructType([*few.schema.fields, T.StructField("_all", T.IntegerType())]))
     return chosen.select("shard", "query", "positive", "negative")
 
 

@@ -133,3 +133,19 @@ def best_scored(ids: Column, scores: Column, excluded: Column | None = None) ->
 def first_acceptable(df: DataFrame, keys: list[str], accept: Column, rank: Column, value: str) -> DataFrame:
     """The value of the accepted row with the lowest rank for each key."""
     return df.filter(accept).groupBy(*keys).agg(F.min_by(value, rank).alias(value))
+
+
+def mined_pairs(df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(qid, positive and best negative with scores, reason) from rows of scored candidate lists.
+
+    Columns: qid, pos, pos_score, neg, neg_score. The negative is no positive of the row and scores
+    strictly above the threshold. Reasons: invalid_schema (a list is null), unaligned_scores,
+    no_positive, no_negative, below_threshold; null if accepted.
+    """
+    lists = ["pos", "pos_score", "neg", "neg_score"]
+    missing = F.col("qid").isNull()
+    for c in lists:
+        missing = missing | F.col(c).isNull()
+    rows = df.withColumn("_p", best_scored(F.col("pos"), F.col("pos_score"))).withColumn("_n", best_scored(F.col("neg"), F.col("neg_score"), F.col("pos")))
+    reason = F.when(missing, "invalid_schema").when((F.size("pos") != F.size("pos_score")) | (F.size("neg") != F.size("neg_score")), "unaligned_scores").when(F.col("_p").isNull(), "no_positive").when(F.col("_n").isNull(), "no_negative").when(F.col("_n.score") <= threshold, "below_threshold")
+    return rows.select("qid", F.col("_p.id").alias("positive_doc_id"), F.col("_p.score").alias("positive_score"), F.col("_n.id").alias("hard_negative_doc_id"), F.col("_n.score").alias("hard_negative_score"), reason.alias("reason"))
