@@ -19,9 +19,11 @@ from trisieve.runtime import materialize, pair_join, spread
 
 TABLES = 4
 DIGITS = 3
-PROBES = 2
+#: Axes tried for each digit; the third only in buckets that were split.
+PROBES = 3
 #: Vectors in a bucket before it is split by another digit, and in a block of a bucket that stays larger.
-BUCKET = 4096
+#: One bucket's scores cost little, so large buckets are cheaper than more tables, and lose less.
+BUCKET = 16_384
 #: Candidates of a bucket that the fast pass keeps for the exact cosine.
 SHORTLIST = 24
 
@@ -119,7 +121,7 @@ def _route(oversized: list[set], blocks: dict):
                     own = codes[i][t]
                     first = [d[0] for d in own]
                     paths = {path(g, t, first): True}
-                    for p in range(1, PROBES):
+                    for p in range(1, PROBES if len(next(iter(paths))) > 2 else 2):
                         for d in range(DIGITS):
                             other = [*first[:d], own[d][p], *first[d + 1 :]]
                             paths.setdefault(path(g, t, other), False)
