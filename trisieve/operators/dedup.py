@@ -33,7 +33,7 @@ def greedy_keep(df: DataFrame, id_col: str, keys: dict[str, Column], order_by: l
     ones for each of its keys is kept, and rows that share a key with it are dropped. The order must be
     unique. Each round's aggregation is combined before the shuffle, so hot keys do no harm.
     """
-    order = F.struct(*[F.col(c) for c in order_by], F.col(id_col))
+    order = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*order_by, id_col])])
     left = materialize(df.select(F.col(id_col).alias("_id"), order.alias("_ord"), F.array(*[F.struct(F.lit(n).alias("kind"), k.cast("string").alias("key")) for n, k in keys.items()]).alias("_keys")), "greedy")
     kept: list[DataFrame] = []
     while not left.isEmpty():
@@ -85,8 +85,12 @@ def char_grams(c: Column, low: int = 3, high: int = 5) -> Column:
 
     def of_word(w: Column) -> Column:
         padded = F.concat(F.lit(" "), w, F.lit(" "))
-        sizes = [F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))), lambda i, n=n: F.substring(padded, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in range(low, high + 1)]
-        return F.concat(*sizes)
+
+        def of_size(n: int) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1)))
+            return F.when(F.length(padded) >= n, F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+        return F.concat(*[of_size(n) for n in range(low, high + 1)])
 
     words = F.filter(F.split(F.lower(c), r"(?U)\s+"), lambda w: w != "")
     return F.flatten(F.transform(words, of_word))

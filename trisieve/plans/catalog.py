@@ -32,7 +32,6 @@ def query(name: str, sql: str | None = None):
 
 
 c = F.col
-A, P, N, TITLE = c("anchor"), c("positive"), c("hard_negative"), c("title")
 
 # --- pieces of oracle SQL ---------------------------------------------------------------------
 
@@ -116,7 +115,7 @@ def _(s, d):
 
 @query("valid_pairs", f"SELECT data_id FROM general WHERE {S_FILLED}")
 def _(s, d):
-    return read(s, d, "general").filter(quality.valid_pair(A, P)).select("data_id")
+    return read(s, d, "general").filter(quality.valid_pair(c("anchor"), c("positive"))).select("data_id")
 
 
 S_MASK = "length(anchor) BETWEEN 8 AND 384 AND length(positive) BETWEEN 80 AND 2000 AND length(hard_negative) BETWEEN 80 AND 2000 AND positive <> hard_negative AND anchor <> positive"
@@ -124,17 +123,17 @@ S_MASK = "length(anchor) BETWEEN 8 AND 384 AND length(positive) BETWEEN 80 AND 2
 
 @query("quality_mask", f"SELECT data_id FROM general WHERE {S_MASK}")
 def _(s, d):
-    return read(s, d, "general").filter(quality.quality_mask(A, P, N)).select("data_id")
+    return read(s, d, "general").filter(quality.quality_mask(c("anchor"), c("positive"), c("hard_negative"))).select("data_id")
 
 
 @query("distinct_triples", f"SELECT data_id FROM triplet WHERE {S_MASK} AND anchor <> hard_negative")
 def _(s, d):
-    return read(s, d, "triplet").filter(quality.distinct_triple(A, P, N)).select("data_id")
+    return read(s, d, "triplet").filter(quality.distinct_triple(c("anchor"), c("positive"), c("hard_negative"))).select("data_id")
 
 
 @query("loose_triplets", f"SELECT data_id, source_row_index FROM english_rag_qa_triplet WHERE length(anchor) BETWEEN 3 AND 1000 AND length(positive) BETWEEN 20 AND 12000 AND length(hard_negative) BETWEEN 20 AND 12000 AND {s_fold('anchor')} <> {s_fold('positive')} AND {s_fold('positive')} <> {s_fold('hard_negative')}")
 def _(s, d):
-    return read(s, d, "english_rag_qa_triplet").filter(quality.loose_triplet(A, P, N)).select("data_id", "source_row_index")
+    return read(s, d, "english_rag_qa_triplet").filter(quality.loose_triplet(c("anchor"), c("positive"), c("hard_negative"))).select("data_id", "source_row_index")
 
 
 S_REJECT = f"""CASE WHEN length(anchor) NOT BETWEEN 5 AND 700 THEN 'anchor_length' WHEN length(positive) NOT BETWEEN 60 AND 9000 THEN 'positive_length'
@@ -145,7 +144,7 @@ S_REJECT = f"""CASE WHEN length(anchor) NOT BETWEEN 5 AND 700 THEN 'anchor_lengt
 
 @query("reject_reasons", f"SELECT source, coalesce({S_REJECT}, 'accepted') AS reason, count(*) AS rows FROM english_rag_qa_triplet GROUP BY ALL")
 def _(s, d):
-    return quality.reason_counts(read(s, d, "english_rag_qa_triplet").withColumn("r", quality.reject_reason(A, P, N)), "r", "source")
+    return quality.reason_counts(read(s, d, "english_rag_qa_triplet").withColumn("r", quality.reject_reason(c("anchor"), c("positive"), c("hard_negative"))), "r", "source")
 
 
 S_BLANK = lambda x: f"({x} IS NULL OR {s_collapse(x)} = '')"
@@ -158,19 +157,19 @@ S_BLANK = lambda x: f"({x} IS NULL OR {s_collapse(x)} = '')"
         WHEN {s_fold('anchor')} = {s_fold('positive')} OR {s_fold('anchor')} = {s_fold('hard_negative')} OR {s_fold('positive')} = {s_fold('hard_negative')} THEN 'degenerate_triplet' END, 'accepted') AS reason, count(*) AS rows
     FROM triplet GROUP BY ALL""")
 def _(s, d):
-    return quality.reason_counts(read(s, d, "triplet").withColumn("r", quality.export_reason(A, P, N)), "r")
+    return quality.reason_counts(read(s, d, "triplet").withColumn("r", quality.export_reason(c("anchor"), c("positive"), c("hard_negative"))), "r")
 
 
 @query("hybrid_clean_pairs", f"SELECT data_id FROM general WHERE length(anchor) BETWEEN 15 AND 420 AND length(positive) BETWEEN 80 AND 1400 AND {s_fold('anchor')} <> {s_fold('positive')} AND NOT regexp_matches(anchor || chr(10) || positive, '\\x{{FFFD}}|\\[\\[|\\]\\]|\\{{\\{{|\\}}\\}}')")
 def _(s, d):
-    return read(s, d, "general").filter(quality.clean_pair(A, P)).select("data_id")
+    return read(s, d, "general").filter(quality.clean_pair(c("anchor"), c("positive"))).select("data_id")
 
 
 @query("science_reasons")
 def _(s, d):
     rows = sim.canonical_name(read(s, d, "triplet"), "source", ["Khoa học tuyển chọn | khoahoc.example", "Bách khoa Sen"], "known", keep_unknown=False)
     topic = sim.closest_topic(["khoa học", "văn hóa", "pháp luật", "đời sống"])(c("domain"))
-    return quality.reason_counts(rows.withColumn("r", quality.science_reason(c("source"), c("domain"), A, P, N, c("known"), topic)), "r")
+    return quality.reason_counts(rows.withColumn("r", quality.science_reason(c("source"), c("domain"), c("anchor"), c("positive"), c("hard_negative"), c("known"), topic)), "r")
 
 
 S_LEGAL = f"""trim(title) <> '' AND trim(anchor) <> '' AND trim(positive) <> '' AND length({s_collapse('anchor')}) BETWEEN 20 AND 420
@@ -179,12 +178,12 @@ S_LEGAL = f"""trim(title) <> '' AND trim(anchor) <> '' AND trim(positive) <> ''
 
 @query("legal_candidates", f"SELECT data_id FROM general WHERE {S_LEGAL}")
 def _(s, d):
-    return read(s, d, "general").filter(quality.legal_pair(TITLE, A, P)).select("data_id")
+    return read(s, d, "general").filter(quality.legal_pair(c("title"), c("anchor"), c("positive"))).select("data_id")
 
 
 @query("per_source_rules", "SELECT data_id FROM general WHERE (source <> 'Bách khoa Sen' OR trim(title) <> '') AND (source <> 'Đọc hiểu Lam' OR anchor LIKE '%?')")
 def _(s, d):
-    return read(s, d, "general").filter(quality.per_source(c("source"), {"Bách khoa Sen": F.trim("title") != "", "Đọc hiểu Lam": A.like("%?")})).select("data_id")
+    return read(s, d, "general").filter(quality.per_source(c("source"), {"Bách khoa Sen": F.trim("title") != "", "Đọc hiểu Lam": c("anchor").like("%?")})).select("data_id")
 
 
 @query("null_safe_exclude", "SELECT data_id FROM general WHERE source IS DISTINCT FROM 'Bách khoa Sen'")
@@ -207,7 +206,7 @@ S_CHUNK = "(CASE WHEN regexp_matches(data_id, '^data_clean_[0-9]{7}_[0-9]{4}$')
 
 @query("quality_features", f"SELECT data_id, {S_ISSUES} AS quality_issues, {S_MENTIONS} AS mentions_title, {S_ENDS.format('.!?…')} AS ends_sentence, {S_CHUNK} AS chunk_index FROM general")
 def _(s, d):
-    return read(s, d, "general").select("data_id", quality.quality_issues(A, P, N).alias("quality_issues"), quality.mentions_title(TITLE, P).alias("mentions_title"), quality.ends_sentence(P).alias("ends_sentence"), quality.chunk_index(c("data_id")).alias("chunk_index"))
+    return read(s, d, "general").select("data_id", quality.quality_issues(c("anchor"), c("positive"), c("hard_negative")).alias("quality_issues"), quality.mentions_title(c("title"), c("positive")).alias("mentions_title"), quality.ends_sentence(c("positive")).alias("ends_sentence"), quality.chunk_index(c("data_id")).alias("chunk_index"))
 
 
 @query("block_pages", "SELECT doc_id FROM documents WHERE contains(lower(CASE WHEN doc_id % 97 = 0 THEN text || ' Access DENIED' ELSE text || ' captcha' END), 'access denied')")
@@ -218,7 +217,7 @@ def _(s, d):
 
 @query("role_prefixes", "SELECT data_id, 'query: ' || anchor AS query, 'passage: ' || positive AS passage FROM general")
 def _(s, d):
-    q, p = quality.with_role(A, P)
+    q, p = quality.with_role(c("anchor"), c("positive"))
     return read(s, d, "general").select("data_id", q.alias("query"), p.alias("passage"))
 
 
@@ -230,7 +229,7 @@ def _(s, d):
 
 @query("title_questions", f"""SELECT data_id, coalesce(CASE WHEN trim(title) <> '' THEN '"' || trim(title) || '" là gì?' END, CASE WHEN NOT {S_BLANK('anchor')} THEN anchor END) AS question FROM general""")
 def _(s, d):
-    return read(s, d, "general").select("data_id", quality.title_question(TITLE, A).alias("question"))
+    return read(s, d, "general").select("data_id", quality.title_question(c("title"), c("anchor")).alias("question"))
 
 
 # --- keys, normalisers and shape --------------------------------------------------------------
@@ -245,8 +244,8 @@ S_PAIR = f"sha256(source || chr(31) || {s_fold('anchor')} || chr(31) || {s_fold(
     FROM triplet""")
 def _(s, d):
     return read(s, d, "triplet").select(
-        "data_id", k.pair_hash(c("source"), A, P).alias("pair_hash"), k.stable_id("hybrid_", F.lit("triplet"), c("source"), c("data_id")).alias("hybrid_id"), k.triplet_hash(A, P, N).alias("triplet_hash"),
-        k.short_sha1("legal_002_", A, P).alias("legal_id"), k.stable_id("q_", A, length=20).alias("query_id"), k.folded_digest(A, P, N).alias("folded"),
+        "data_id", k.pair_hash(c("source"), c("anchor"), c("positive")).alias("pair_hash"), k.stable_id("hybrid_", F.lit("triplet"), c("source"), c("data_id")).alias("hybrid_id"), k.triplet_hash(c("anchor"), c("positive"), c("hard_negative")).alias("triplet_hash"),
+        k.short_sha1("legal_002_", c("anchor"), c("positive")).alias("legal_id"), k.stable_id("q_", c("anchor"), length=20).alias("query_id"), k.folded_digest(c("anchor"), c("positive"), c("hard_negative")).alias("folded"),
     )
 
 
@@ -257,17 +256,17 @@ def _(s, d):
 
 @query("collapsed_texts", f"SELECT data_id, md5({s_collapse('positive')}) AS positive FROM general")
 def _(s, d):
-    return read(s, d, "general").select("data_id", F.md5(t.collapse(P)).alias("positive"))
+    return read(s, d, "general").select("data_id", F.md5(t.collapse(c("positive"))).alias("positive"))
 
 
 @query("nfc_texts", f"SELECT data_id, md5({s_collapse('nfc_normalize(anchor)')}) AS anchor FROM triplet")
 def _(s, d):
-    return read(s, d, "triplet").select("data_id", F.md5(t.nfc_collapsed(A)).alias("anchor"))
+    return read(s, d, "triplet").select("data_id", F.md5(t.nfc_collapsed(c("anchor"))).alias("anchor"))
 
 
 @query("anchor_keys", f"SELECT data_id, md5(rtrim({s_collapse(s_fold('anchor'))}, '?.!')) AS anchor_key FROM general")
 def _(s, d):
-    return read(s, d, "general").select("data_id", F.md5(t.anchor_key(A)).alias("anchor_key"))
+    return read(s, d, "general").select("data_id", F.md5(t.anchor_key(c("anchor"))).alias("anchor_key"))
 
 
 S_ARTIFACT = r"\x{FFFD}|\[\[|\]\]|\{\{|\}\}|(?i:formula_\d+)|[\x00-\x08\x0b\x0c\x0e-\x1f]"
@@ -275,7 +274,7 @@ S_ARTIFACT = r"\x{FFFD}|\[\[|\]\]|\{\{|\}\}|(?i:formula_\d+)|[\x00-\x08\x0b\x0c\
 
 @query("artifact_clean", f"SELECT data_id, md5(CASE WHEN regexp_matches(positive, '{S_ARTIFACT}') THEN {s_collapse(f"regexp_replace(positive, '{S_ARTIFACT}', ' ', 'g')")} ELSE positive END) AS positive FROM general")
 def _(s, d):
-    return read(s, d, "general").select("data_id", F.md5(t.drop_artifacts(P)).alias("positive"))
+    return read(s, d, "general").select("data_id", F.md5(t.drop_artifacts(c("positive"))).alias("positive"))
 
 
 def _udf_query(name: str, table: str, column: str, change):
@@ -316,7 +315,7 @@ def _(s, d):
     SELECT data_id, source_row_index, round({S_OVERLAP}, 6) AS overlap, round(len(list_intersect({s_words('positive')}, {s_words('hard_negative')}))::DOUBLE / greatest(len(list_distinct(list_concat({s_words('positive')}, {s_words('hard_negative')}))), 1), 6) AS jaccard
     FROM english_rag_qa_triplet""")
 def _(s, d):
-    return read(s, d, "english_rag_qa_triplet").select("data_id", "source_row_index", F.round(sim.overlap_ratio(A, N), 6).alias("overlap"), F.round(sim.jaccard(P, N), 6).alias("jaccard"))
+    return read(s, d, "english_rag_qa_triplet").select("data_id", "source_row_index", F.round(sim.overlap_ratio(c("anchor"), c("hard_negative")), 6).alias("overlap"), F.round(sim.jaccard(c("positive"), c("hard_negative")), 6).alias("jaccard"))
 
 
 @query("canonical_sources", """
@@ -348,7 +347,7 @@ def _(s, d):
     WITH x AS (SELECT data_id, {S_PAIR} AS pair_hash, round({S_OVERLAP}, 6) AS score, source_row_index % 2 AS part FROM english_rag_qa_triplet)
     SELECT pair_hash, data_id, score FROM x QUALIFY row_number() OVER (PARTITION BY pair_hash ORDER BY score DESC, part, data_id) = 1""")
 def _(s, d):
-    rows = read(s, d, "english_rag_qa_triplet").select(k.pair_hash(c("source"), A, P).alias("pair_hash"), "data_id", F.round(sim.overlap_ratio(A, N), 6).alias("score"), (c("source_row_index") % 2).alias("part"))
+    rows = read(s, d, "english_rag_qa_triplet").select(k.pair_hash(c("source"), c("anchor"), c("positive")).alias("pair_hash"), "data_id", F.round(sim.overlap_ratio(c("anchor"), c("hard_negative")), 6).alias("score"), (c("source_row_index") % 2).alias("part"))
     old, new = rows.filter("part = 0").drop("part"), rows.filter("part = 1").drop("part")
     return upsert.upsert_better(old, new, "pair_hash", "score", [c("data_id")])
 
@@ -365,7 +364,7 @@ def _(s, d):
 
 @query("changed_rows", f"SELECT data_id, {s_collapse('positive')} IS DISTINCT FROM positive AS changed, length({s_collapse('positive')}) AS chars FROM general")
 def _(s, d):
-    return upsert.update_changed(read(s, d, "general").select("data_id", "positive"), "positive", t.collapse(P)).select("data_id", "changed", F.length("positive").cast("bigint").alias("chars"))
+    return upsert.update_changed(read(s, d, "general").select("data_id", "positive"), "positive", t.collapse(c("positive"))).select("data_id", "changed", F.length("positive").cast("bigint").alias("chars"))
 
 
 @query("pending_rows", "SELECT data_id FROM general WHERE data_id NOT IN (SELECT source_data_id FROM rag_qa_hybrid_train WHERE source_table = 'general' AND quality_score >= 80)")
@@ -393,7 +392,7 @@ def _(s, d):
 
 @query("triplet_md5_dedup", "SELECT data_id FROM triplet QUALIFY row_number() OVER (PARTITION BY md5(concat_ws(chr(30), anchor, positive, hard_negative)) ORDER BY data_id) = 1")
 def _(s, d):
-    return dedup.by_digest(read(s, d, "triplet"), k.triplet_hash(A, P, N), [c("data_id")]).select("data_id")
+    return dedup.by_digest(read(s, d, "triplet"), k.triplet_hash(c("anchor"), c("positive"), c("hard_negative")), [c("data_id")]).select("data_id")
 
 
 S_PER_TITLE = f"""
@@ -427,7 +426,7 @@ def _(s, d):
 
 @query("first_rows_per_source", f"SELECT data_id, source FROM general WHERE {S_MASK} AND source IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY data_id) <= 30")
 def _(s, d):
-    rows = read(s, d, "general").filter(quality.quality_mask(A, P, N) & c("source").isNotNull())
+    rows = read(s, d, "general").filter(quality.quality_mask(c("anchor"), c("positive"), c("hard_negative")) & c("source").isNotNull())
     return select.top_per_key(rows, ["source"], [c("data_id")], 30).select("data_id", "source")
 
 
@@ -452,7 +451,7 @@ def _(s, d):
 
 @query("casefold_digest_dedup", f"SELECT data_id FROM english_rag_qa_triplet QUALIFY row_number() OVER (PARTITION BY sha256({s_fold("concat_ws(chr(31), anchor, positive, hard_negative)")}) ORDER BY source, data_id) = 1")
 def _(s, d):
-    return dedup.by_digest(read(s, d, "english_rag_qa_triplet"), k.folded_digest(A, P, N), [c("source"), c("data_id")]).select("data_id")
+    return dedup.by_digest(read(s, d, "english_rag_qa_triplet"), k.folded_digest(c("anchor"), c("positive"), c("hard_negative")), [c("source"), c("data_id")]).select("data_id")
 
 
 S_KEY = lambda x: f"rtrim({s_collapse(s_fold(x))}, '?.!')"
@@ -460,18 +459,18 @@ S_KEY = lambda x: f"rtrim({s_collapse(s_fold(x))}, '?.!')"
 
 @query("unseen_anchors", f"SELECT data_id FROM general WHERE {S_KEY('anchor')} NOT IN (SELECT {S_KEY('anchor')} FROM rag_qa_hybrid_train) QUALIFY row_number() OVER (PARTITION BY {S_KEY('anchor')} ORDER BY data_id) = 1")
 def _(s, d):
-    return dedup.unseen(read(s, d, "general"), t.anchor_key(A), read(s, d, "rag_qa_hybrid_train"), t.anchor_key(A), [c("data_id")]).select("data_id")
+    return dedup.unseen(read(s, d, "general"), t.anchor_key(c("anchor")), read(s, d, "rag_qa_hybrid_train"), t.anchor_key(c("anchor")), [c("data_id")]).select("data_id")
 
 
 @query("duplicate_groups", f"SELECT md5({s_fold('anchor')} || chr(31) || {s_fold('positive')}) AS pair, count(*) AS rows FROM rag_qa_hybrid_train GROUP BY ALL HAVING count(*) > 1")
 def _(s, d):
-    pairs = read(s, d, "rag_qa_hybrid_train").select(F.md5(F.concat_ws("\x1f", t.folded(A), t.folded(P))).alias("pair"))
+    pairs = read(s, d, "rag_qa_hybrid_train").select(F.md5(F.concat_ws("\x1f", t.folded(c("anchor")), t.folded(c("positive")))).alias("pair"))
     return dedup.duplicate_groups(pairs, ["pair"])
 
 
 @query("greedy_three_key")
 def _(s, d):
-    return dedup.greedy_keep(read(s, d, "triplet"), "data_id", {"anchor": t.text_key(A), "positive": t.text_key(P), "negative": t.text_key(N)}, ["source"]).select("data_id", "keep")
+    return dedup.greedy_keep(read(s, d, "triplet"), "data_id", {"anchor": t.text_key(c("anchor")), "positive": t.text_key(c("positive")), "negative": t.text_key(c("hard_negative"))}, ["source"]).select("data_id", "keep")
 
 
 @query("near_dup_pairs")
@@ -560,8 +559,8 @@ def _(s, d):
     z AS (SELECT data_id, start, len(wanted) AS n, len(list_intersect(wanted, {s_words("concat_ws(' ', title, piece)")})) AS hits FROM w WHERE piece <> '')
     SELECT data_id, start FROM z QUALIFY row_number() OVER (PARTITION BY data_id ORDER BY hits::DOUBLE / greatest(n, 1) DESC, hits DESC, start) = 1""")
 def _(s, d):
-    wanted = t.word_set(F.concat(A, F.lit(" "), F.coalesce("topic", F.lit(""))))
-    rows = read(s, d, "general").select("data_id", chunk.best_chunk(chunk.stride_windows(P, 200, 50), wanted, TITLE).alias("x"))
+    wanted = t.word_set(F.concat(c("anchor"), F.lit(" "), F.coalesce("topic", F.lit(""))))
+    rows = read(s, d, "general").select("data_id", chunk.best_chunk(chunk.stride_windows(c("positive"), 200, 50), wanted, c("title")).alias("x"))
     return rows.filter("x IS NOT NULL").select("data_id", "x.start")
 
 
@@ -581,8 +580,8 @@ def _(s, d):
 def _(s, d):
     hybrid = read(s, d, "rag_qa_hybrid_train")
     qrels = hybrid.select(c("data_id").alias("query_id"), c("source_data_id").alias("corpus_id"), F.lit(1).alias("score"))
-    queries = hybrid.filter("split = 'train'").select(c("data_id").alias("query_id"), A.alias("text"))
-    corpus = read(s, d, "general").select(c("data_id").alias("corpus_id"), P.alias("text"))
+    queries = hybrid.filter("split = 'train'").select(c("data_id").alias("query_id"), c("anchor").alias("text"))
+    corpus = read(s, d, "general").select(c("data_id").alias("corpus_id"), c("positive").alias("text"))
     return evaluate.resolve_qrels(qrels, queries, corpus).groupBy("state").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -602,14 +601,14 @@ S_NORM = s_fold(s_collapse("anchor"))
 @query("without_leaks", f"SELECT data_id FROM rag_qa_hybrid_train WHERE split <> 'train' AND {S_NORM} NOT IN (SELECT {S_NORM} FROM rag_qa_hybrid_train WHERE split = 'train')")
 def _(s, d):
     rows = read(s, d, "rag_qa_hybrid_train")
-    key = t.folded(t.collapse(A))
+    key = t.folded(t.collapse(c("anchor")))
     return evaluate.without_leaks(rows.filter("split <> 'train'"), key, rows.filter("split = 'train'"), key).select("data_id")
 
 
 @query("leaked_rows", f"SELECT split, count(*) AS rows FROM rag_qa_hybrid_train WHERE split <> 'train' AND {S_NORM} IN (SELECT {S_NORM} FROM rag_qa_hybrid_train WHERE split = 'train') GROUP BY split")
 def _(s, d):
     rows = read(s, d, "rag_qa_hybrid_train")
-    key = t.folded(t.collapse(A))
+    key = t.folded(t.collapse(c("anchor")))
     return evaluate.leaked(rows.filter("split <> 'train'"), key, rows.filter("split = 'train'"), key).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -723,12 +722,12 @@ def _(s, d):
 @query("filtered_profile", "SELECT count(*) AS rows, count(DISTINCT source) AS sources, count(*) FILTER (trim(positive) = '') AS blank, count(*) FILTER (positive IS NULL) AS missing, min(length(positive)) AS shortest, round(avg(length(positive)), 2) AS mean, max(length(positive)) AS longest FROM general")
 def _(s, d):
     n = F.length("positive").cast("bigint")
-    return read(s, d, "general").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("source").alias("sources"), F.count_if(F.trim("positive") == "").alias("blank"), F.count_if(P.isNull()).alias("missing"), F.min(n).alias("shortest"), F.round(F.avg(n), 2).alias("mean"), F.max(n).alias("longest"))
+    return read(s, d, "general").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("source").alias("sources"), F.count_if(F.trim("positive") == "").alias("blank"), F.count_if(c("positive").isNull()).alias("missing"), F.min(n).alias("shortest"), F.round(F.avg(n), 2).alias("mean"), F.max(n).alias("longest"))
 
 
 @query("source_profile", "SELECT source, count(*) AS rows, count(DISTINCT title) AS titles, sum((hard_negative IS NOT NULL)::INTEGER)::BIGINT AS negatives FROM general GROUP BY source ORDER BY rows DESC")
 def _(s, d):
-    return read(s, d, "general").groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles"), F.sum(N.isNotNull().cast("int")).alias("negatives")).orderBy(F.desc("rows"))
+    return read(s, d, "general").groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles"), F.sum(c("hard_negative").isNotNull().cast("int")).alias("negatives")).orderBy(F.desc("rows"))
 
 
 @query("id_conflicts", "SELECT title, count(DISTINCT source) AS values FROM general GROUP BY title HAVING count(DISTINCT source) > 1")
@@ -743,7 +742,7 @@ def _(s, d):
 
 @query("list_totals", "WITH g AS (SELECT title, list(data_id) AS ids, any_value(title) AS t FROM general GROUP BY title) SELECT count(*) AS parents, sum(len(ids))::BIGINT AS children, count(*) FILTER (t IS NULL OR trim(t) = '') AS untitled FROM g")
 def _(s, d):
-    return read(s, d, "general").groupBy("title").agg(F.count("data_id").alias("n")).agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("children"), F.count_if(TITLE.isNull() | (F.trim("title") == "")).alias("untitled"))
+    return read(s, d, "general").groupBy("title").agg(F.count("data_id").alias("n")).agg(F.count(F.lit(1)).alias("parents"), F.sum("n").alias("children"), F.count_if(c("title").isNull() | (F.trim("title") == "")).alias("untitled"))
 
 
 @query("training_steps", "SELECT sum(ceil(n / 32.0))::BIGINT AS steps FROM (SELECT count(*) AS n FROM triplet GROUP BY source)")
@@ -836,8 +835,8 @@ def _(s, d):
 
 
 def _holdout(s, d):
-    triples = read(s, d, "general").filter("hard_negative IS NOT NULL AND source IS NOT NULL").select(c("source").alias("shard"), A.alias("query"), P.alias("positive"), N.alias("negative"), "data_id")
-    train = read(s, d, "rag_qa_hybrid_train").filter("split = 'train'").select(A.alias("query"))
+    triples = read(s, d, "general").filter("hard_negative IS NOT NULL AND source IS NOT NULL").select(c("source").alias("shard"), c("anchor").alias("query"), c("positive").alias("positive"), c("hard_negative").alias("negative"), "data_id")
+    train = read(s, d, "rag_qa_hybrid_train").filter("split = 'train'").select(c("anchor").alias("query"))
     return evaluate.holdout_tables(evaluate.holdout_rows(triples, train, 40, 4, 25, ["data_id"]))
 
 
