@@ -28,6 +28,9 @@ DIVISOR = 5
 CUTTINGS = 3
 #: Share of the longer value's words that the shared chunks of a candidate pair hold at least.
 MIN_OVERLAP = 0.25
+#: Numbers of 64 bits in the sketch of a value's words, which drops most other pairs in the join.
+SKETCH = 4
+BITS = [f"s{i}" for i in range(SKETCH)]
 
 _PRIME = 1_000_003
 _MASK = (1 << 64) - 1
@@ -58,14 +61,31 @@ def chunk(words: list[str], cutting: int = 0) -> list[tuple[int, int, int]]:
     return out
 
 
+def sketch(words: list[str]) -> list[int]:
+    """SKETCH numbers of 64 bits, one of which stands for each word; an edit changes at most two bits."""
+    bits = 0
+    for w in words:
+        bits |= 1 << zlib.crc32(w.encode()) % (64 * SKETCH)
+    parts = [bits >> 64 * i & _MASK for i in range(SKETCH)]
+    return [x - (1 << 64) if x >> 63 else x for x in parts]
+
+
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunk rows, and for each value one row without a digest that carries its sketch."""
+    names = ["cls", "field_name", "cutting", "digest", "n", "at", "total", "train", "eval", *BITS]
+    kinds = {"cutting": "int32", "digest": "Int64", "n": "int32", "at": "int32", "total": "int32", **dict.fromkeys(BITS, "Int64")}
+    no_bits = [None] * SKETCH
     for pdf in batches:
-        rows = []
-        for key, field, text, train, evals in pdf.itertuples(index=False):
-            words = text.split(" ")
-            for cutting in range(CUTTINGS):
-                rows += [(key, field, cutting, digest, n, at, len(words), train > 0, evals > 0) for digest, n, at in chunk(words, cutting)]
-        yield pd.DataFrame(rows, columns=["cls", "field_name", "cutting", "digest", "n", "at", "total", "train", "eval"]).astype({"cutting": "int32", "n": "int32", "at": "int32", "total": "int32"})
+        for start in range(0, len(pdf), 500):
+            rows = []
+            for key, field, text, train, evals in pdf.iloc[start : start + 500].itertuples(index=False):
+                words = text.split(" ")
+                total = len(words)
+                rows.append((key, field, 0, None, 0, 0, total, train > 0, evals > 0, *sketch(words)))
+                for cutting in range(CUTTINGS):
+                    rows += [(key, field, cutting, digest, n, at, total, train > 0, evals > 0, *no_bits) for digest, n, at in chunk(words, cutting)]
+            columns = dict(zip(names, zip(*rows, strict=True), strict=True))
+            yield pd.DataFrame({c: pd.array(v, dtype=kinds[c]) if c in kinds else list(v) for c, v in columns.items()})
 
 
 def overlap(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]], longer: int) -> float:
@@ -109,8 +129,8 @@ def within(a: list[str], b: list[str], most: int) -> bool:
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cut = lru_cache(maxsize=20_000)(lambda text: [chunk(text.split(" "), c) for c in range(CUTTINGS)])
     for pdf in batches:
-        cut = lru_cache(maxsize=20_000)(lambda text: [chunk(text.split(" "), c) for c in range(CUTTINGS)])
         keep, shares = [], []
         for x, y in zip(pdf["words_eval"], pdf["words_train"], strict=True):
             a, b = x.split(" "), y.split(" ")
@@ -134,19 +154,26 @@ def _classes(df: DataFrame, id_col: str, split_col: str, fields: list[str], trai
 def class_links(classes: DataFrame) -> DataFrame:
     """(field_name, cls_eval, cls_train, overlap): classes of almost equal values in different splits."""
     texts = classes.filter("words <> ''")
-    rows = "cls binary, field_name string, cutting int, digest bigint, n int, at int, total int, train boolean, eval boolean"
+    rows = "cls binary, field_name string, cutting int, digest bigint, n int, at int, total int, train boolean, eval boolean, " + ", ".join(f"{x} bigint" for x in BITS)
     chunks = materialize(spread(texts.select("cls", "field_name", "words", "n_train", "n_eval")).mapInPandas(_chunks, rows), "p7k")
     on = ["field_name", "digest"]
-    rarity = chunks.groupBy(*on).agg(F.count_if("train").alias("in_train"), F.count_if("eval").alias("in_eval")).filter("in_train > 0 AND in_eval > 0")
+    found, carriers = chunks.filter("digest IS NOT NULL"), chunks.filter("digest IS NULL")
+    rarity = found.groupBy(*on).agg(F.count_if("train").alias("in_train"), F.count_if("eval").alias("in_eval")).filter("in_train > 0 AND in_eval > 0")
     # only chunks of both splits can be shared; the rarest come last here, in one order for all values
-    rank = Window.partitionBy("cls", "cutting").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), "digest").rowsBetween(Window.unboundedPreceding, 0)
-    prefix = chunks.join(rarity, on).withColumn("upto", F.sum("n").over(rank)).filter(F.col("upto") >= MIN_OVERLAP * F.col("total"))
-    prefix = materialize(prefix.select("cls", *on, "total", "at", "train", "eval"), "p7p")
-    left = prefix.filter("train").select(*on, F.col("cls").alias("cls_train"), F.col("total").alias("total_train"), F.col("at").alias("at_train"))
-    right = prefix.filter("eval").select(*on, F.col("cls").alias("cls_eval"), F.col("total").alias("total_eval"), F.col("at").alias("at_eval"))
+    rank = Window.partitionBy("cls", "cutting").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), F.asc_nulls_first("digest")).rowsBetween(Window.unboundedPreceding, 0)
+    none = F.lit(0).cast("bigint")
+    ranked = found.join(rarity, on).unionByName(carriers.withColumns({"in_train": none, "in_eval": none}))
+    whole = Window.partitionBy("cls")
+    ranked = ranked.select(*[c for c in ranked.columns if c not in BITS], *[F.max(c).over(whole).alias(c) for c in BITS], F.sum("n").over(rank).alias("upto"))
+    prefix = ranked.filter((F.col("upto") >= MIN_OVERLAP * F.col("total")) & F.col("digest").isNotNull())
+    prefix = materialize(prefix.select("cls", *on, "total", "at", "train", "eval", *BITS), "p7p")
+    side = lambda x: prefix.filter(x).select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "total", "at", *BITS)])
+    left, right = side("train"), side("eval")
     sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
     most = F.floor(F.greatest("total_train", "total_eval") / 10)
-    near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter((F.col("cls_train") != F.col("cls_eval")) & (F.abs(F.col("total_train") - F.col("total_eval")) <= most) & (F.abs(F.col("at_train") - F.col("at_eval")) <= most))
+    # an exact filter: no pair within the number of edits has sketches that differ in more bits
+    bits = sum((F.bit_count(F.col(f"{x}_train").bitwiseXOR(F.col(f"{x}_eval"))) for x in BITS[1:]), F.bit_count(F.col(f"{BITS[0]}_train").bitwiseXOR(F.col(f"{BITS[0]}_eval"))))
+    near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter((F.col("cls_train") != F.col("cls_eval")) & (F.abs(F.col("total_train") - F.col("total_eval")) <= most) & (F.abs(F.col("at_train") - F.col("at_eval")) <= most) & (bits <= 2 * most))
     candidates = near.select("field_name", "cls_eval", "cls_train").distinct()
     text = lambda x: classes.select(F.col("cls").alias(f"cls_{x}"), F.col("words").alias(f"words_{x}"))
     checked = candidates.join(text("eval"), "cls_eval").join(text("train"), "cls_train").mapInPandas(_verify, "field_name string, cls_eval binary, cls_train binary, overlap double")
