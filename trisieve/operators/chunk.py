@@ -117,18 +117,15 @@ def lossless_pieces(size: int = 4300):
     return run
 
 
-def best_chunk(chunks: Column, wanted: Column, title: Column) -> Column:
-    """The chunk (struct start, text) whose words and the title's cover most of the wanted words.
-
-    Ties go to more shared words, then to the earlier chunk.
-    """
-    scored = F.transform(chunks, lambda c: _rank(c, wanted, title))
-    return F.array_max(scored)["chunk"]
-
-
-def _rank(chunk: Column, wanted: Column, title: Column) -> Column:
-    words = word_set(F.concat_ws(" ", title, chunk["text"]))
-    return F.struct(coverage(wanted, words).alias("coverage"), F.size(F.array_intersect(wanted, words)).alias("overlap"), (-chunk["start"]).alias("early"), chunk.alias("chunk"))
+def best_chunks(df: DataFrame, id_col: str, chunks: Column, wanted: Column, title: Column) -> DataFrame:
+    """(id, start, text): of each row's chunks (array of struct start, text) the one whose words, with the
+    title's, cover most of the wanted words. Ties go to more shared words, then to the earlier chunk; rows
+    without chunks give none. The id must be unique."""
+    rows = df.select(id_col, wanted.alias("_wanted"), title.alias("_title"), F.explode(chunks).alias("_c"))
+    words = rows.withColumn("_words", word_set(F.concat_ws(" ", "_title", "_c.text")))
+    score = F.struct(coverage(F.col("_wanted"), F.col("_words")).alias("coverage"), F.size(F.array_intersect("_wanted", "_words")).alias("shared"), (-F.col("_c.start")).alias("early"), F.col("_c.text").alias("text"))
+    best = words.groupBy(id_col).agg(F.max(score).alias("_best"))
+    return best.select(id_col, (-F.col("_best.early")).alias("start"), "_best.text")
 
 
 def islands(df: DataFrame, keys: list[str], order_by: list[str], partition_by: list[str], blank_key: str | None = None, fallback: str = "data_id") -> DataFrame:

@@ -96,13 +96,20 @@ def char_grams(c: Column, low: int = 3, high: int = 5) -> Column:
     return F.flatten(F.transform(words, of_word))
 
 
+#: What the joined n-grams of a pair must add at least; more prunes better, but joins more frequent n-grams.
+REMAINDER = 0.08
+
+
 def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95, min_df: int = 2, max_features: int = 100_000) -> DataFrame:
     """(a, b, similarity), a < b: pairs with a TF-IDF cosine of character n-grams of at least the threshold.
 
     Smooth idf, unit length, the most frequent `max_features` n-grams of those in `min_df` texts. Only
-    the rarest n-grams of a text enter the join, as many as leave less than the threshold's length to
-    the others; by the Cauchy-Schwarz inequality no pair is lost.
+    the rarest n-grams of a text enter the join, as many as leave less than the length `rest` to the
+    others. All n-grams a pair shares outside the join are left out by one of the two texts, the one that
+    leaves out more; by the Cauchy-Schwarz inequality they add at most the length of what it leaves out. A
+    pair whose joined n-grams fall short of the remainder cannot reach the threshold, so none is lost.
     """
+    rest = max(0.0, threshold - REMAINDER)
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
     total = texts.count()
     grams = materialize(texts.select("id", F.explode(char_grams(F.col("text"))).alias("gram")).groupBy("id", "gram").agg(F.count(F.lit(1)).alias("tf")), "grams")
@@ -110,11 +117,14 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     table = materialize(table.select("gram", "df", (F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
     weighted = bounded_join(grams, table, ["gram"], by=["id"], how="inner").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
-    rest = Window.partitionBy("id").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
+    common_first = Window.partitionBy("id").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
     unit = weighted.withColumn("w", F.col("w") / norm)
-    vectors = materialize(unit.withColumn("upto", F.sqrt(F.sum(F.col("w") * F.col("w")).over(rest))).select("id", "gram", "w", "upto"), "vectors")
-    prefix = vectors.filter(F.col("upto") >= threshold - 1e-9).select("id", "gram")
-    pairs = prefix.withColumnRenamed("id", "a").join(prefix.withColumnRenamed("id", "b"), "gram").filter("a < b").select("a", "b").distinct()
+    vectors = materialize(unit.withColumn("upto", F.sqrt(F.sum(F.col("w") * F.col("w")).over(common_first))).select("id", "gram", "w", "upto"), "vectors")
+    left_out = F.coalesce(F.max(F.when(F.col("upto") < rest, F.col("upto"))).over(Window.partitionBy("id")), F.lit(0.0))
+    prefix = vectors.withColumn("out", left_out).filter(F.col("upto") >= rest).select("id", "gram", "w", "out")
+    side = lambda x: prefix.select(F.col("id").alias(x), "gram", F.col("w").alias(f"w_{x}"), F.col("out").alias(f"out_{x}"))
+    joined = side("a").join(side("b"), "gram").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("part"), F.first("out_a").alias("out_a"), F.first("out_b").alias("out_b"))
+    pairs = materialize(joined.filter(F.col("part") + F.greatest("out_a", "out_b") >= threshold - 1e-9).select("a", "b"), "pairs")
     left, right = (vectors.select(F.col("id").alias(x), "gram", F.col("w").alias(f"w_{x}")) for x in "ab")
     sums = pairs.join(left, "a").join(right, ["b", "gram"]).groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("similarity"))
     return sums.filter(F.col("similarity") >= threshold)

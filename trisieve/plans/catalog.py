@@ -431,19 +431,18 @@ def _(s, d):
 
 
 @query("mined_pairs", """
-    WITH l AS (SELECT l_orderkey AS qid, l_partkey AS id, l_extendedprice / 100000 AS score, l_linenumber FROM lineitem),
+    WITH l AS (SELECT l_orderkey AS qid, l_partkey AS id, l_extendedprice AS score, l_linenumber FROM lineitem),
     pos AS (SELECT qid, arg_max(id, (score, -id)) AS positive_doc_id, max(score) AS positive_score FROM l WHERE l_linenumber <= 2 GROUP BY qid),
     neg AS (SELECT n.qid, arg_max(n.id, (n.score, -n.id)) AS hard_negative_doc_id, max(n.score) AS hard_negative_score FROM l n LEFT JOIN l p ON n.qid = p.qid AND n.id = p.id AND p.l_linenumber <= 2 WHERE n.l_linenumber > 2 AND p.id IS NULL GROUP BY n.qid),
     q AS (SELECT DISTINCT qid FROM l)
-    SELECT qid, positive_doc_id, round(positive_score, 6) AS positive_score, hard_negative_doc_id, round(hard_negative_score, 6) AS hard_negative_score,
-        CASE WHEN positive_doc_id IS NULL THEN 'no_positive' WHEN hard_negative_doc_id IS NULL THEN 'no_negative' WHEN hard_negative_score <= 0.5 THEN 'below_threshold' END AS reason
+    SELECT qid, positive_doc_id, positive_score, hard_negative_doc_id, hard_negative_score,
+        CASE WHEN positive_doc_id IS NULL THEN 'no_positive' WHEN hard_negative_doc_id IS NULL THEN 'no_negative' WHEN hard_negative_score <= 50000 THEN 'below_threshold' END AS reason
     FROM q LEFT JOIN pos USING (qid) LEFT JOIN neg USING (qid)""")
 def _(s, d):
-    line = read(s, d, "lineitem").select(c("l_orderkey").alias("qid"), c("l_partkey").alias("id"), (c("l_extendedprice") / 100000).alias("score"), (c("l_linenumber") <= 2).alias("p"))
+    line = read(s, d, "lineitem").select(c("l_orderkey").alias("qid"), c("l_partkey").alias("id"), c("l_extendedprice").alias("score"), (c("l_linenumber") <= 2).alias("p"))
     pick = lambda which, x: F.collect_list(F.when(c("p") == which, F.struct("id", "score")))[x]
     lists = line.groupBy("qid").agg(pick(True, "id").alias("pos"), pick(True, "score").alias("pos_score"), pick(False, "id").alias("neg"), pick(False, "score").alias("neg_score"))
-    out = select.mined_pairs(lists)
-    return out.withColumns({x: F.round(x, 6) for x in ("positive_score", "hard_negative_score")})
+    return select.mined_pairs(lists, 50_000)
 
 
 # --- dedup ------------------------------------------------------------------------------------
@@ -560,8 +559,7 @@ def _(s, d):
     SELECT data_id, start FROM z QUALIFY row_number() OVER (PARTITION BY data_id ORDER BY hits::DOUBLE / greatest(n, 1) DESC, hits DESC, start) = 1""")
 def _(s, d):
     wanted = t.word_set(F.concat(c("anchor"), F.lit(" "), F.coalesce("topic", F.lit(""))))
-    rows = read(s, d, "general").select("data_id", chunk.best_chunk(chunk.stride_windows(c("positive"), 200, 50), wanted, c("title")).alias("x"))
-    return rows.filter("x IS NOT NULL").select("data_id", "x.start")
+    return chunk.best_chunks(read(s, d, "general"), "data_id", chunk.stride_windows(c("positive"), 200, 50), wanted, c("title")).select("data_id", "start")
 
 
 @query("title_children", "WITH g AS (SELECT title, list(data_id ORDER BY data_id) AS ids FROM general WHERE source = 'Open Notes EN' GROUP BY title) SELECT title, i AS k, ids[i + 1] AS data_id FROM g, range(1000) r(i) WHERE i < len(ids)")
