@@ -39,4 +39,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_profile": lambda s, d: p10_levels.level_profile(p10_levels.reading_levels(read(s, d, "documents"), read(s, d, "doc_levels"))),
 }
 
-ORACLE: dict[str, str] = {}
+# --- oracle SQL, where SQL can say the same ----------------------------------------------------
+
+_IGNORED = r"[\p{P}\p{Z}\t-\r\x{1c}-\x{1f}\x{85}]+"
+_CANON = "list_sort([" + ", ".join(f"replace(replace(regexp_replace(lower(coalesce({f}, '')), '{_IGNORED}', '', 'g'), 'ß', 'ss'), 'ς', 'σ')" for f in TEXTS) + "])"
+_FORMS = " UNION ALL ".join(f"SELECT data_id AS id, '{f}' AS field_name, {p4_forms.form_sql(f)} AS form, {p4_forms.stored_sql(f)} AS stored FROM triplet WHERE {f} IS NOT NULL" for f in TEXTS[:2])
+
+ORACLE: dict[str, str] = {
+    "p4_found": f"WITH v AS ({_FORMS}) SELECT DISTINCT a.field_name, a.id AS data_id_a, b.id AS data_id_b FROM v a JOIN v b ON a.field_name = b.field_name AND a.form = b.form AND a.stored <> b.stored AND a.id < b.id WHERE a.form <> ''",
+    "p4_forms": f"WITH v AS ({_FORMS}) SELECT id, field_name, form FROM v",
+    "p5_found": f"SELECT data_id FROM general WHERE length(positive) > {p5_pieces.LIMIT}",
+    "p6_found": f"WITH c AS (SELECT data_id, {_CANON} AS key FROM triplet), k AS (SELECT *, min(data_id) OVER (PARTITION BY key) AS keep_id FROM c) SELECT keep_id, data_id AS copy_id FROM k WHERE data_id <> keep_id",
+    "p6_records": f"WITH c AS (SELECT data_id, {_CANON} AS key FROM triplet) SELECT min(data_id) AS keep_id, count(*) AS copies FROM c GROUP BY key",
+}
