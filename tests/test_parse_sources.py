@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trisieve.operators import parse
+from trisieve.operators import evaluate, parse
 from trisieve.plans import pipelines
 from trisieve.sources import readers, sinks
 from trisieve.streaming import incremental
@@ -97,6 +97,19 @@ def test_publishing(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "j")).count() == 10
 
 
+def test_reusable_tables_and_markers(spark, tmp_path):
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(len(built))
+
+    path = str(tmp_path / "index")
+    assert [sinks.reusable(spark, path, m, build).count() for m in ({"k": 1}, {"k": 1}, {"k": 2})] == [1, 1, 2] and len(built) == 2
+    rows = spark.createDataFrame([("Bench-VI",), ("ok",)], "source string")
+    assert [r.observed for r in evaluate.expectations(rows, absent={"source": ["bench"]}).collect()] == [1]
+
+
 def test_incremental_stream(spark, tmp_path):
     source, target, check = (str(tmp_path / x) for x in ("in", "out", "ck"))
     spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").write.parquet(source)

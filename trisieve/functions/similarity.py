@@ -28,6 +28,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return shared(x, y) / F.greatest(F.size(F.array_union(x, y)), F.lit(1))
 
 
+def ordered_union(*lists: Column) -> Column:
+    """The distinct elements of all lists in order of first appearance."""
+    return F.array_distinct(F.concat(*lists))
+
+
 def coverage(wanted: Column, text: Column) -> Column:
     """Share of the wanted word set that a word set holds."""
     return shared(wanted, text) / F.greatest(F.size(wanted), F.lit(1))

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from trisieve.functions.similarity import coverage
 from trisieve.functions.text import strip, suffix_prefix_overlap, word_set
+from trisieve.operators.select import row_index
+from trisieve.runtime import bounded_join, materialize
 
 
 def fixed_windows(c: Column, size: int = 384, overlap: int = 48) -> Column:
@@ -128,16 +130,29 @@ def best_chunks(df: DataFrame, id_col: str, chunks: Column, wanted: Column, titl
     return best.select(id_col, (-F.col("_best.early")).alias("start"), "_best.text")
 
 
+#: Rows whose running start is found in one task.
+RUN = 100_000
+
+
 def islands(df: DataFrame, keys: list[str], order_by: list[str], partition_by: list[str], blank_key: str | None = None, fallback: str = "data_id") -> DataFrame:
-    """Adds `island`: a new number wherever the keys change in the given order, within each partition.
+    """Adds `island`: the position of the first row of the run of equal keys that a row belongs to.
 
-    A row whose `blank_key` is blank is an island of its own (its key is `fallback`).
+    Rows are ordered by `partition_by` and `order_by` together; a run never crosses a partition. A row
+    whose `blank_key` is blank is a run of its own (its key is `fallback`). Neighbours meet by a join on
+    the position and starts are carried over blocks of RUN rows, so that no partition is one task.
     """
-    order = Window.partitionBy(*partition_by).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    rows = row_index(df, [*partition_by, *order_by], "_row")
     own = [F.when(F.trim(F.col(k)) != "", F.col(k)).otherwise(F.concat(F.lit("\x00"), F.col(fallback))) if k == blank_key else F.col(k) for k in keys]
-    key = F.to_json(F.array(*[F.coalesce(k.cast("string"), F.lit("\x01")) for k in own]))
-    change = F.when(F.lag(key).over(order) == key, 0).otherwise(1)
-    return df.withColumn("_change", change).withColumn("island", F.sum("_change").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_change")
+    key = F.to_json(F.array(*[F.coalesce(k.cast("string"), F.lit("\x01")) for k in [*own, *[F.col(c) for c in partition_by]]]))
+    keyed = materialize(rows.withColumn("_key", key), "islands")
+    before = keyed.select((F.col("_row") + 1).alias("_row"), F.col("_key").alias("_before"))
+    start = F.when(~F.col("_key").eqNullSafe(F.col("_before")), F.col("_row"))
+    starts = keyed.join(before, "_row", "left").withColumn("_start", start).withColumn("_block", F.floor(F.col("_row") / RUN))
+    running = F.max("_start").over(Window.partitionBy("_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0))
+    carried = F.max("_last").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))  # one row a block
+    blocks = materialize(starts.groupBy("_block").agg(F.max("_start").alias("_last")).select("_block", carried.alias("_carried")), "blocks")
+    out = bounded_join(starts.withColumn("_running", running), blocks, ["_block"], by=["_row"])
+    return out.withColumn("island", F.coalesce("_running", "_carried")).select(*df.columns, "island")
 
 
 def stitch(df: DataFrame, document: list[str], order_by: list[str], text: str, overlap: int = 48, least: int = 32) -> DataFrame:

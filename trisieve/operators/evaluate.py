@@ -20,11 +20,11 @@ class ExpectationError(ValueError):
     """A table did not meet its expectations."""
 
 
-def expectations(df: DataFrame, unique: list[str] = [], filled: list[str] = [], distinct: list[tuple[str, str]] = [], longest: dict[str, int] = {}, rows: int | None = None, pure: dict[str, str] = {}, fail: bool = False) -> DataFrame:  # noqa: B006
+def expectations(df: DataFrame, unique: list[str] = [], filled: list[str] = [], distinct: list[tuple[str, str]] = [], longest: dict[str, int] = {}, rows: int | None = None, pure: dict[str, str] = {}, absent: dict[str, list[str]] = {}, fail: bool = False) -> DataFrame:  # noqa: B006
     """(check, observed, expected, passed), from one aggregation over the table.
 
-    Checks: number of rows, unique columns, filled columns, distinct columns, longest texts, and columns
-    with one value only. With `fail` a failing check raises.
+    Checks: number of rows, unique columns, filled columns, distinct columns, longest texts, columns with
+    one value only, and markers (such as names of benchmark sources) that a column must not hold. With `fail` a failing check raises.
     """
     checks: list[tuple[str, Column, Column]] = []
     if rows is not None:
@@ -34,6 +34,11 @@ def expectations(df: DataFrame, unique: list[str] = [], filled: list[str] = [],
     checks += [(f"distinct {a} {b}", F.count_if(F.col(a) == F.col(b)), F.lit(0)) for a, b in distinct]
     checks += [(f"longest {c}", F.count_if(F.length(c) > n), F.lit(0)) for c, n in longest.items()]
     checks += [(f"pure {c}", F.count_if(~F.col(c).eqNullSafe(F.lit(v))), F.lit(0)) for c, v in pure.items()]
+    for c, marks in absent.items():
+        held = F.lit(False)
+        for m in marks:
+            held = held | F.contains(F.lower(c), F.lit(m.lower()))
+        checks.append((f"absent {c}", F.count_if(held), F.lit(0)))
     one = df.agg(*[F.struct(o.cast("bigint").alias("observed"), e.cast("bigint").alias("expected")).alias(f"c{i}") for i, (_, o, e) in enumerate(checks)])
     out = one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"c{i}.observed").alias("observed"), F.col(f"c{i}.expected").alias("expected")) for i, (name, _, _) in enumerate(checks)])).alias("x")).select("x.*").withColumn("passed", F.col("observed") == F.col("expected"))
     if fail and (bad := out.filter("NOT passed").collect()):

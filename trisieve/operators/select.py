@@ -88,8 +88,11 @@ def even_groups(df: DataFrame, order_by: list[str], group_size: int, k: int) ->
 
 def quota_select(df: DataFrame, quota: DataFrame, key: str, order_by: list[Column]) -> DataFrame:
     """Up to `quota` rows of each key, in the given order; keys without a quota give no row."""
-    joined = bounded_join(df, materialize(quota.select(key, "quota"), "quota"), [key], by=[key], how="inner")
-    return top_per_key(joined, [key], order_by, F.col("quota")).drop("quota")
+    table = materialize(quota.select(key, "quota"), "quota")
+    joined = bounded_join(df, table, [key], by=df.columns[:1], how="inner")
+    # a constant limit lets Spark cut a hot key's rows before the shuffle
+    most = table.agg(F.max("quota")).first()[0] or 0
+    return top_per_key(joined, [key], order_by, most).filter(F.col("rank") <= F.col("quota")).drop("quota")
 
 
 def two_tier(df: DataFrame, source: str, preferred: str, other: str, order_by: list[Column], n: int) -> DataFrame:

@@ -330,6 +330,22 @@ def _(s, d):
     return read(s, d, "general").select("data_id", sim.closest_topic(["văn hóa", "khoa học", "pháp luật", "y tế", "đời sống"])(c("topic")).alias("topic"))
 
 
+@query("ordered_union", "SELECT data_id, array_to_string(list_filter([topic, domain, source], lambda x, i: x IS NOT NULL AND list_position([topic, domain, source], x) = i), '|') AS labels FROM triplet")
+def _(s, d):
+    labels = sim.ordered_union(F.array("topic"), F.array("domain", "source"))
+    return read(s, d, "triplet").select("data_id", F.array_join(labels, "|").alias("labels"))
+
+
+@query("adaptive_sample")
+def _(s, d):
+    return select.adaptive_sample(read(s, d, "general").select("data_id", "source"), "data_id", 300)
+
+
+@query("answerable_qrels", "SELECT data_id, source_data_id FROM rag_qa_hybrid_train WHERE NOT is_synthetic AND quality_score > 0")
+def _(s, d):
+    return read(s, d, "rag_qa_hybrid_train").filter(~c("is_synthetic") & (c("quality_score") > 0)).select("data_id", "source_data_id")
+
+
 # --- merges -----------------------------------------------------------------------------------
 
 
@@ -532,9 +548,9 @@ def _(s, d):
 
 
 S_ISLANDS = """
-    WITH k AS (SELECT *, coalesce(CASE WHEN trim(title) <> '' THEN title END, chr(1) || data_id) AS key FROM general),
-    g AS (SELECT *, CASE WHEN lag(key) OVER w IS NOT DISTINCT FROM key THEN 0 ELSE 1 END AS change FROM k WINDOW w AS (PARTITION BY source ORDER BY data_id)),
-    i AS (SELECT *, sum(change) OVER (PARTITION BY source ORDER BY data_id)::INTEGER AS island FROM g)"""
+    WITH k AS (SELECT *, coalesce(CASE WHEN trim(title) <> '' THEN title END, chr(1) || data_id) AS key, row_number() OVER (ORDER BY source NULLS LAST, data_id) - 1 AS n FROM general),
+    g AS (SELECT *, CASE WHEN lag(key) OVER w IS NOT DISTINCT FROM key AND lag(source) OVER w IS NOT DISTINCT FROM source THEN NULL ELSE n END AS start FROM k WINDOW w AS (ORDER BY n)),
+    i AS (SELECT *, max(start) OVER (ORDER BY n) AS island FROM g)"""
 
 
 @query("islands", S_ISLANDS + " SELECT data_id, source, island FROM i")

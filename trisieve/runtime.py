@@ -94,8 +94,9 @@ def pair_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame
     rows are repeated for each slice.
     """
     slices = F.ceil(F.col(size) / F.lit(ROWS_PER_SALT)).cast("int")
-    sizes = sizes.select(*on, slices.alias("_slices"))
-    many = sizes.filter("_slices > 1")
+    many = materialize(sizes.select(*on, slices.alias("_slices")).filter("_slices > 1"), "hot")
+    # at most one row for ROWS_PER_SALT rows of the left side
+    many = F.broadcast(many) if many.count() <= BROADCAST_ROWS else many
     left = left.join(many, on, "left").withColumn("_slice", F.pmod(F.xxhash64(*by), F.coalesce("_slices", F.lit(1))).cast("int")).drop("_slices")
     right = right.join(many, on, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))).drop("_slices")
     return left.join(right, [*on, "_slice"]).drop("_slice")

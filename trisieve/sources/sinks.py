@@ -123,3 +123,22 @@ def copy_to_sqlite(df: DataFrame, path: str, table: str, key: str | None = None)
     if n != wanted:
         raise OSError(f"{n} rows instead of {wanted}")
     return n
+
+
+def reusable(spark, path: str, metadata: dict, build: Callable[[], DataFrame], rebuild: bool = False) -> DataFrame:
+    """A derived table (such as an index) that is built once for given metadata and then read again.
+
+    The metadata are stored beside the data; other metadata, or `rebuild`, make it anew. The table is
+    published as a whole, so an interrupted build leaves nothing behind.
+    """
+    import json
+
+    stamp = json.dumps(metadata, sort_keys=True)
+    probe = spark.range(0)
+    fs, where = _fs(probe, path)
+    notes = f"{path.rstrip('/')}.meta"
+    if not rebuild and fs.exists(where(path)) and fs.exists(where(notes)) and [r.value for r in spark.read.text(notes).collect()] == [stamp]:
+        return spark.read.parquet(path)
+    publish(build(), path, replace=True)
+    spark.createDataFrame([(stamp,)], "value string").coalesce(1).write.mode("overwrite").text(notes)
+    return spark.read.parquet(path)
