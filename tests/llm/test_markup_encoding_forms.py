@@ -73,10 +73,11 @@ def test_chains_and_legacy_letters():
     assert p2_encoding.explain("Tõ n¨m 2024, c¸nh ®ång")[2] == "Từ năm 2024, cánh đồng"
     assert p2_encoding.explain("Töø naêm 2008, khu röøng")[2] == "Từ năm 2008, khu rừng"
     assert p2_encoding.explain("đi�u ki�n")[::2] == ("lost", None)
+    assert p2_encoding.explain("Москва гордая".encode().decode("latin-1"))[2] == "Москва гордая"
     assert p2_encoding.explain("bã¡o cã¡o")[2] == "báo cáo"
 
 
-@pytest.mark.parametrize("text", [GOOD, GOOD.upper(), "“ÂNGORA – ÃO”", "crème brûlée, £40, ½ cup, 90 m², § 12", "Москва гордая", "BÃI BẠCH MẠCH. XÃ HẠ"])
+@pytest.mark.parametrize("text", [GOOD, GOOD.upper(), "“ÂNGORA – ÃO”", "crème brûlée, £40, ½ cup, 90 m², § 12", "Москва гордая", "BÃI BẠCH MẠCH. XÃ HẠ", "đã có… rồi", "“CHỢ XÃ”", "3 × 4"])
 def test_right_texts_have_no_strong_evidence(text):
     chain, m, _ = p2_encoding.explain(text)
     assert m == 0 or p2_encoding._chance(chain) ** m > 1e-4

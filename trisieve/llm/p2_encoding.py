@@ -51,7 +51,7 @@ _SYLLABLE = re.compile(
 )
 _TONES = re.compile("[̣̀́̃̉]")
 _WORD = re.compile(r"[^\s!-@\[-`{-~…“”‘’–—]+")
-_LONE = re.compile(r"(?<!\w)[ÃÂ](?!\w)|(?<=[a-zà-ỹ0-9])[ÃÂ](?![\w])")
+_LONE = re.compile(r"(?<!\w)[ÃÂ](?!\w)")
 
 #: A value without any of these characters is clean: no chain can have made it.
 VIETNAMESE = "àáảãạăằắẳẵặâầấẩẫậđèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵ"
@@ -152,15 +152,23 @@ def undo(text: str, codec: str, variant: int) -> tuple[str, int, int]:
     """The text with the codec's stretches decoded once, their number and length."""
     reading, found = misreads()[codec], [0, 0]
 
+    pattern, last = reading.patterns[variant], [-1]
+
     def char(m: re.Match) -> str:
         got = reading.decode(variant, m[0])
         if got is None:
             return m[0]
+        before, after = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
+        if before.isalpha() and not after.isalpha() and all(c in "…–—‘’“”" for c in m[0][1:]):
+            return m[0]  # a word that ends in the lead letter, and an ordinary sign
+        if 0x370 <= ord(got) < 0x530 and last[0] != m.start() and not pattern.match(text, m.end()):
+            return m[0]  # a single letter of another script
+        last[0] = m.end()
         found[0] += 1
         found[1] += len(m[0])
         return got
 
-    return reading.patterns[variant].sub(char, text), found[0], found[1]
+    return pattern.sub(char, text), found[0], found[1]
 
 
 def explain(text: str) -> tuple[str, int, str | None]:

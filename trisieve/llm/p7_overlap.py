@@ -159,10 +159,11 @@ def class_links(classes: DataFrame) -> DataFrame:
     on = ["field_name", "digest"]
     found, carriers = chunks.filter("digest IS NOT NULL"), chunks.filter("digest IS NULL")
     rarity = found.groupBy(*on).agg(F.count_if("train").alias("in_train"), F.count_if("eval").alias("in_eval")).filter("in_train > 0 AND in_eval > 0")
+    rarity = materialize(rarity, "p7r")
     # only chunks of both splits can be shared; the rarest come last here, in one order for all values
     rank = Window.partitionBy("cls", "cutting").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), F.asc_nulls_first("digest")).rowsBetween(Window.unboundedPreceding, 0)
     none = F.lit(0).cast("bigint")
-    ranked = found.join(rarity, on).unionByName(carriers.withColumns({"in_train": none, "in_eval": none}))
+    ranked = pair_join(found, rarity, on, rarity.withColumn("rows", F.col("in_train") + F.col("in_eval")), "rows", by=["cls"]).unionByName(carriers.withColumns({"in_train": none, "in_eval": none}))
     whole = Window.partitionBy("cls")
     ranked = ranked.select(*[c for c in ranked.columns if c not in BITS], *[F.max(c).over(whole).alias(c) for c in BITS], F.sum("n").over(rank).alias("upto"))
     prefix = ranked.filter((F.col("upto") >= MIN_OVERLAP * F.col("total")) & F.col("digest").isNotNull())
