@@ -23,6 +23,8 @@ from trisieve.runtime import bounded_join, materialize, spread
 #: A path is voted down if its score is below this in at least MIN_PAGES containers of the host.
 DROP_SCORE = 0.0
 MIN_PAGES = 3
+#: Markup may come to light when what covers it is gone; code and formulas are safe by then.
+PASSES = 3
 
 # Tag names of HTML and of wiki extensions.
 TAGS = (
@@ -168,7 +170,7 @@ def formula(body: str) -> str:
         if new == text:
             break
         text = new
-    text = re.sub(r"\\([A-Za-z]+)", lambda m: LATEX_SIGNS.get(m[1], m[1]), text)
+    text = re.sub(r"\\([A-Za-z]+)", lambda m: LATEX_SIGNS.get(m[1], m[1]), re.sub(r"\*{2,3}|~~|\$\$", "", text))
     return re.sub(r"\s+", " ", re.sub(r"\\[,;!: ]|[{}\\]", " ", text)).strip()
 
 
@@ -207,6 +209,7 @@ def _template(m: re.Match) -> str:
 
 
 #: (pattern, replacement) in order; H, L and Q mark the start of headings, list items and quotations.
+#: Kept parts stand as numbers between control characters meanwhile.
 RULES: list[tuple[re.Pattern, object]] = [(re.compile(p), r) for p, r in [
     (r"(?is)<!--.*?(?:-->|$)", ""), (r"(?is)<(script|style)\b.*?(?:</\1\s*>|$)", ""),
     (r"(?is)<ref\b[^>]*/>", ""), (r"(?is)<ref\b[^>]*>.*?(?:</ref>|$)", ""),
@@ -253,9 +256,12 @@ def extract(text: str, dropped: set[str]) -> str:
     text = PATH.sub(lambda m: keep(m[0], False), text)
     text = _CODE.sub(code, text)
     text = _MATH.sub(lambda m: keep(formula(next(g for g in m.groups() if g)), m[0][:2] in ("$$", "\\[", "\\b")), text)
-    for pattern, with_ in RULES:
-        text = pattern.sub(with_, text)
-    text = html.unescape(text).replace("\xa0", " ")
+    for _ in range(PASSES):
+        for pattern, with_ in RULES:
+            text = pattern.sub(with_, text)
+        text = html.unescape(text).replace("\xa0", " ")
+        if not marks(text):
+            break
     text = re.sub(r"[^\S\n\t]+", " ", text)
     text = re.sub(r" ?\n ?", "\n", re.sub(r"\n{3,}", "\n\n", text))
     for _ in range(3):
