@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import sqlite3
 import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -56,11 +57,8 @@ def append_new(df: DataFrame, path: str, key: str) -> int:
     fresh = df.filter(F.col(key).isNotNull()).dropDuplicates([key])
     if fs.exists(where(path)):
         fresh = fresh.join(df.sparkSession.read.parquet(path).select(key), key, "left_anti")
-    seen = F.count(F.lit(1))
-    from pyspark.sql import Observation
-
     watch = Observation("append")
-    fresh.observe(watch, seen.alias("n")).write.mode("append").parquet(path)
+    fresh.observe(watch, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
     return watch.get.get("n", 0)
 
 
@@ -131,8 +129,6 @@ def reusable(spark, path: str, metadata: dict, build: Callable[[], DataFrame], r
     The metadata are stored beside the data; other metadata, or `rebuild`, make it anew. The table is
     published as a whole, so an interrupted build leaves nothing behind.
     """
-    import json
-
     stamp = json.dumps(metadata, sort_keys=True)
     probe = spark.range(0)
     fs, where = _fs(probe, path)
