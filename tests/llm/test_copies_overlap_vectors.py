@@ -90,6 +90,33 @@ def test_overlaps_against_brute_force(spark, monkeypatch):
     assert p7_overlap.overlap_pairs(table.limit(0), "data_id", "split", ["anchor"]).count() == 0
 
 
+def even_edits(n):
+    """(a, b) of about n words, with as many edits as are allowed, one in every ten words, or one too many."""
+    rng = random.Random(n)
+    for i in range(24):
+        a = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        b = list(a)
+        for k in range((n + 1) // 10 if i % 2 else n // 10):
+            at = len(a) - 1 - (k * 10 + 4) % n
+            if i % 2:
+                b.insert(at, "neu")
+            else:
+                b[at] = "neu"
+        yield (b, a) if i % 4 > 1 else (a, b)
+
+
+def test_overlaps_with_edits_at_even_distances(spark):
+    data, want = [], set()
+    for n in (9, 10, 11, 19, 20, 60, 200, 800):
+        for i, (a, b) in enumerate(even_edits(n)):
+            data += [(f"a{n}-{i:02}", "train", " ".join(a)), (f"b{n}-{i:02}", "test", " ".join(b))]
+            if p7_overlap.within(a, b, max(len(a), len(b)) // 10):
+                want.add(("text", f"a{n}-{i:02}", f"b{n}-{i:02}"))
+    table = spark.createDataFrame(data, "data_id string, split string, text string")
+    assert len(want) >= 100
+    assert {tuple(r) for r in p7_overlap.overlap_pairs(table, "data_id", "split", ["text"]).collect()} == want
+
+
 def brute(data, k):
     want = {}
     for group in {g for _, g, _ in data}:

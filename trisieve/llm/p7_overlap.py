@@ -5,8 +5,10 @@ chunks, chunk digests are joined across the splits, and shared chunk lengths are
 fractions. Only each value's rarest chunks enter the join: whatever the pair, if chunks at about the same
 place make up at least MIN_OVERLAP of the longer value, the rarest of them is among these, so no such pair
 is lost. The values are cut CUTTINGS times with different hashes, since a few edits may spoil most chunks of
-one cutting, but hardly of all: of random pairs with the most edits allowed, at most 1 in 200 has less
-overlap in each. An exact word edit distance then decides.
+one cutting. Pairs whose edits spoil them in every cutting come from segments: a training value is cut into
+runs of SEGMENT words, more than a pair can have edits, and an edit spoils at most one; so a run of one more
+than the most edits, the rarest ones, has one that stands unchanged in the other value near its place. That
+loses no pair. An exact word edit distance then decides.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +32,11 @@ CUTTINGS = 4
 #: Values of up to SHORT words are also cut into finer chunks, once more.
 SHORT = 22
 FINE = 2
-#: Share of the longer value's words that the shared chunks of a candidate pair hold at least.
+#: Share of the longer value's words that the shared chunks of a candidate pair from chunks hold at least.
 MIN_OVERLAP = 0.25
+#: Words in a segment; with fewer than LEAST words no edit is allowed, and a value of LEAST has shorter segments.
+SEGMENT = 5
+LEAST = 9
 #: Numbers of 64 bits in the sketch of a value's words, which drops most other pairs in the join.
 SKETCH = 4
 BITS = [f"s{i}" for i in range(SKETCH)]
@@ -95,6 +101,55 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({c: pd.array(v, dtype=kinds[c]) if c in kinds else list(v) for c, v in columns.items()})
 
 
+def grams(words: list[str], size: int) -> np.ndarray:
+    """The digest of the `size` words from each position on."""
+    hashes = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    out = np.full(max(0, len(words) - size + 1), size, dtype=np.uint64)
+    for i in range(size):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashes[i : len(words) - size + 1 + i]
+    return out.view(np.int64)
+
+
+def segments(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(digests, first words) of a value's segments, one after the other.
+
+    A value of n words has at most n // 9 edits to another, whichever is longer, and n // SEGMENT is more;
+    only 9 words, to which one may be added, need segments of one word less.
+    """
+    size = SEGMENT - (len(words) == LEAST)
+    found = grams(words, size)[::size] if len(words) >= LEAST else np.empty(0, np.int64)
+    return found, np.arange(len(found)) * size
+
+
+def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(digests, first words) of all runs of words that may be another value's segment."""
+    if len(words) < LEAST:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    parts = [grams(words, size) for size in range(SEGMENT - (len(words) == LEAST + 1), SEGMENT + 1)]
+    return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
+
+
+def _runs(of):
+    """For each value its sketch and its distinct runs: digest, how often, first and last place."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for key, field, text in pdf.itertuples(index=False):
+                words = text.split(" ")
+                digests, at = of(words)
+                if not len(digests):
+                    continue
+                order = np.lexsort((at, digests))
+                digests, at = digests[order], at[order]
+                starts = np.flatnonzero(np.r_[True, digests[1:] != digests[:-1]])
+                ends = np.r_[starts[1:], len(digests)]
+                rows.append((key, field, len(words), *sketch(words), digests[starts], ends - starts, at[starts], at[ends - 1]))
+            yield pd.DataFrame(rows, columns=["cls", "field_name", "total", *BITS, "digest", "n", "low", "high"])
+
+    return run
+
+
 def overlap(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]], longer: int) -> float:
     """Summed length of the chunks that two values share at about the same place, as a share of the longer."""
     places = {digest: at for digest, _, at in a}
@@ -143,7 +198,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             a, b = x.split(" "), y.split(" ")
             longer = max(len(a), len(b))
             share = max(overlap(p, q, longer) for p, q in zip(cut(x), cut(y), strict=False))
-            keep.append(share >= MIN_OVERLAP and within(a, b, longer // 10))
+            keep.append(within(a, b, longer // 10))
             shares.append(share)
         pdf["overlap"] = shares
         yield pdf.loc[keep, ["field_name", "cls_eval", "cls_train", "overlap"]]
@@ -158,6 +213,41 @@ def _classes(df: DataFrame, id_col: str, split_col: str, fields: list[str], trai
     return values.drop("words"), materialize(classes, "p7c")
 
 
+def _segment_pairs(texts: DataFrame) -> DataFrame:
+    """(field_name, cls_eval, cls_train): all pairs of classes that may be within the number of edits."""
+    rows = "cls binary, field_name string, total int, " + ", ".join(f"{x} bigint" for x in BITS) + ", digest array<bigint>, n array<bigint>, low array<bigint>, high array<bigint>"
+
+    def side(which: str, of, label: str) -> DataFrame:
+        found = spread(texts.filter(which).select("cls", "field_name", "words")).mapInPandas(_runs(of), rows)
+        return materialize(found.select("cls", "field_name", "total", *BITS, F.explode(F.arrays_zip("digest", "n", "low", "high")).alias("x")).select("cls", "field_name", "total", *BITS, "x.*"), label)
+
+    on = ["field_name", "digest"]
+    train, evals = side("n_train > 0", segments, "p7s"), side("n_eval > 0", windows, "p7w")
+    count = lambda df, name: df.groupBy(*on).agg(F.count(F.lit(1)).alias(name))
+    rarity = materialize(count(train, "in_train").join(count(evals, "in_eval"), on), "p7t")
+    # segments that no evaluation value has are the rarest of all; they need no row, only their number
+    met = pair_join(train, rarity, on, rarity, "in_train", by=["cls"])
+    whole = Window.partitionBy("cls")
+    before = F.coalesce(F.sum("n").over(whole.orderBy("in_eval", "digest").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    size = F.when(F.col("total") == LEAST, SEGMENT - 1).otherwise(SEGMENT)
+    ranked = met.withColumn("rarer", F.floor(F.col("total") / size) - F.sum("n").over(whole) + before)
+    prefix = materialize(ranked.filter(F.col("rarer") <= F.floor(F.col("total") / 9)).drop("n", "rarer", "in_train", "in_eval"), "p7u")
+    named = lambda df, x: df.select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "total", "low", "high", *BITS)])
+    near = pair_join(named(prefix, "train"), named(evals, "eval"), on, count(prefix, "rows"), "rows", by=["cls_train"])
+    most = _most()
+    return near.filter(_may_match() & (F.col("low_train") - most <= F.col("high_eval")) & (F.col("low_eval") - most <= F.col("high_train"))).select("field_name", "cls_eval", "cls_train")
+
+
+def _most() -> Column:
+    return F.floor(F.greatest("total_train", "total_eval") / 10)
+
+
+def _may_match() -> Column:
+    """An exact filter: no pair within the number of edits has sketches that differ in more bits."""
+    bits = sum((F.bit_count(F.col(f"{x}_train").bitwiseXOR(F.col(f"{x}_eval"))) for x in BITS[1:]), F.bit_count(F.col(f"{BITS[0]}_train").bitwiseXOR(F.col(f"{BITS[0]}_eval"))))
+    return (F.col("cls_train") != F.col("cls_eval")) & (F.abs(F.col("total_train") - F.col("total_eval")) <= _most()) & (bits <= 2 * _most())
+
+
 def class_links(classes: DataFrame) -> DataFrame:
     """(field_name, cls_eval, cls_train, overlap): classes of almost equal values in different splits."""
     texts = classes.filter("words <> ''")
@@ -178,11 +268,8 @@ def class_links(classes: DataFrame) -> DataFrame:
     side = lambda x: prefix.filter(x).select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "total", "at", *BITS)])
     left, right = side("train"), side("eval")
     sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    most = F.floor(F.greatest("total_train", "total_eval") / 10)
-    # an exact filter: no pair within the number of edits has sketches that differ in more bits
-    bits = sum((F.bit_count(F.col(f"{x}_train").bitwiseXOR(F.col(f"{x}_eval"))) for x in BITS[1:]), F.bit_count(F.col(f"{BITS[0]}_train").bitwiseXOR(F.col(f"{BITS[0]}_eval"))))
-    near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter((F.col("cls_train") != F.col("cls_eval")) & (F.abs(F.col("total_train") - F.col("total_eval")) <= most) & (F.abs(F.col("at_train") - F.col("at_eval")) <= most) & (bits <= 2 * most))
-    candidates = near.select("field_name", "cls_eval", "cls_train").distinct()
+    near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter(_may_match() & (F.abs(F.col("at_train") - F.col("at_eval")) <= _most()))
+    candidates = near.select("field_name", "cls_eval", "cls_train").unionByName(_segment_pairs(texts)).distinct()
     text = lambda x: classes.select(F.col("cls").alias(f"cls_{x}"), F.col("words").alias(f"words_{x}"))
     checked = candidates.join(text("eval"), "cls_eval").join(text("train"), "cls_train").mapInPandas(_verify, "field_name string, cls_eval binary, cls_train binary, overlap double")
     same = classes.filter("n_train > 0 AND n_eval > 0").select("field_name", F.col("cls").alias("cls_eval"), F.col("cls").alias("cls_train"), F.lit(1.0).alias("overlap"))
