@@ -181,6 +181,17 @@ def test_vectors(spark):
     assert ranks == {i: 1 + int((s[i] > s[i, (i + 1) % 300]).sum()) for i in range(0, 300, 10)}
 
 
+def test_inverted_lists_recall_of_the_defaults(spark):
+    x = np.random.default_rng(11).normal(size=(20_000, 64)).astype(np.float32)
+    corpus = spark.createDataFrame(list(zip(range(len(x)), x.tolist(), strict=True)), "id bigint, vec array<float>").repartition(4)
+    queries = corpus.filter("id % 50 = 0")
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    want = {i: set(np.argsort(-(u[i] @ u.T), kind="stable")[:16].tolist()) for i in range(0, len(x), 50)}
+    got = vectors.ivf_top_k(queries, corpus).collect()
+    assert len(got) == 16 * len(want) and sum(r.id in want[r.query_id] for r in got) >= 0.9 * len(got)
+
+
 def test_metrics_and_expectations(spark):
     ranks = spark.createDataFrame([(1, 1), (2, 3), (3, 20)], "query_id int, rank int")
     m = evaluate.retrieval_metrics(ranks).first()
