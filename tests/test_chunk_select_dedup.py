@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trisieve.operators import chunk, dedup, evaluate, lexical, select, upsert, vectors
+from trisieve.plans import catalog
 
 
 def texts(spark, values):
@@ -192,6 +193,22 @@ def test_inverted_lists_recall_of_the_defaults(spark):
     assert len(got) == 16 * len(want) and sum(r.id in want[r.query_id] for r in got) >= 0.9 * len(got)
 
 
+def test_ranks_in_the_whole_table(spark, tmp_path):
+    x = np.random.default_rng(12).normal(size=(400, 64)).astype(np.float32)
+    labels = ["alone" if i == 300 else f"l{i % 7}" for i in range(400)]
+    spark.createDataFrame([(i, labels[i], v) for i, v in enumerate(x.tolist())], "vec_id bigint, label string, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    u = x.astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    s = np.round(u @ u.T, 10)
+    want = {}
+    for q in (0, 100, 200):
+        positive = min(i for i in range(400) if i != q and labels[i] == labels[q])
+        want[q] = 1 + sum(s[q, i] > s[q, positive] for i in range(400) if i != q)
+    got = {r.query_id: r["rank"] for r in catalog.QUERIES["query_ranks"](spark, str(tmp_path)).collect()}
+    assert got == want
+    assert catalog.QUERIES["retrieval_metrics"](spark, str(tmp_path)).first().mean_rank == pytest.approx(sum(want.values()) / 3, abs=1e-6)
+
+
 def test_metrics_and_expectations(spark):
     ranks = spark.createDataFrame([(1, 1), (2, 3), (3, 20)], "query_id int, rank int")
     m = evaluate.retrieval_metrics(ranks).first()

@@ -133,10 +133,11 @@ def hard_negatives(neighbours: DataFrame, texts: DataFrame, anchors: DataFrame)
     return best.select("query_id", F.col("x.id").alias("negative_id"), F.col("x.score").alias("score"))
 
 
-def ranks(queries: DataFrame, corpus: DataFrame, positives: DataFrame, block: int = BLOCK) -> DataFrame:
+def ranks(queries: DataFrame, corpus: DataFrame, positives: DataFrame, block: int = BLOCK, own: bool = True) -> DataFrame:
     """(query_id, rank): one plus the number of corpus vectors that score higher than the positive.
 
-    `positives` is (query_id, id), one for each query; ties do not count against it.
+    `positives` is (query_id, id), one for each query; ties do not count against it. Without `own`, the
+    query's own id in the corpus does not count either.
     """
     q_blocks, c_blocks = (max(1, -(-x.count() // block)) for x in (queries, corpus))
     target = positives.join(corpus.withColumnRenamed("vec", "_target"), "id").select(F.col("query_id").alias("id"), "_target")
@@ -149,8 +150,11 @@ def ranks(queries: DataFrame, corpus: DataFrame, positives: DataFrame, block: in
             return pa.table({"query_id": pa.array([], pa.int64()), "above": pa.array([], pa.int64())})
         q, c = _matrix(query), _matrix(rest)
         t = _matrix(query.drop_columns(["vec"]).rename_columns([("vec" if x == "_target" else x) for x in query.drop_columns(["vec"]).column_names]))
-        scores, own = np.round(q @ c.T, 10), np.round((q * t).sum(axis=1), 10)
-        return pa.table({"query_id": query.column("id").to_numpy(), "above": (scores > own[:, None]).sum(axis=1)})
+        scores, least = np.round(q @ c.T, 10), np.round((q * t).sum(axis=1), 10)
+        above = scores > least[:, None]
+        if not own:
+            above &= query.column("id").to_numpy()[:, None] != rest.column("id").to_numpy()[None, :]
+        return pa.table({"query_id": query.column("id").to_numpy(), "above": above.sum(axis=1)})
 
     pick = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

@@ -706,10 +706,13 @@ S_RANKS = """
 def _ranks(s, d):
     rows = read(s, d, "embeddings")
     usable = vectors.usable(rows, "vec_id", "embedding", 64).join(rows.select(c("vec_id").alias("id"), "label"), "id")
-    queries, corpus = usable.filter("id % 100 = 0"), usable.filter("id % 2 = 1")
-    first = corpus.groupBy("label").agg(F.min("id").alias("id"))
-    positives = queries.select(c("id").alias("query_id"), "label").join(first, "label").select("query_id", "id")
-    return vectors.ranks(queries.select("id", "vec"), corpus.select("id", "vec"), positives)
+    queries = usable.filter("id % 100 = 0")
+    # the first other vector of the query's label: the label's first, or its second for the first itself
+    first = usable.groupBy("label").agg(F.min("id").alias("first"))
+    second = usable.join(first, "label").filter(c("id") > c("first")).groupBy("label").agg(F.min("id").alias("second"))
+    positives = queries.select(c("id").alias("query_id"), "label").join(first, "label").join(second, "label", "left")
+    positives = positives.select("query_id", F.when(c("query_id") == c("first"), c("second")).otherwise(c("first")).alias("id")).filter("id IS NOT NULL")
+    return vectors.ranks(queries.select("id", "vec"), usable.select("id", "vec"), positives, own=False)
 
 
 @query("query_ranks", S_RANKS + " SELECT query_id, rank, round(CASE WHEN rank <= 10 THEN 1.0 / rank ELSE 0 END, 6)::DOUBLE AS reciprocal_rank_at_10 FROM r")
