@@ -209,6 +209,18 @@ def test_ranks_in_the_whole_table(spark, tmp_path):
     assert catalog.QUERIES["retrieval_metrics"](spark, str(tmp_path)).first().mean_rank == pytest.approx(sum(want.values()) / 3, abs=1e-6)
 
 
+def test_title_children_of_all_sources(spark, tmp_path):
+    rows = [(f"{i * 7919 % 5000:05}", f"s{i % 3}", "nóng" if i % 2 else [None, "", "a", "b"][i // 2 % 4]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "data_id string, source string, title string")
+    df.write.parquet(f"{tmp_path}/general.parquet")
+    groups = defaultdict(list)
+    for i, _, title in sorted(rows, key=lambda r: r[0]):
+        groups[title].append(i)
+    want = sorted((str(t), k, i) for t, ids in groups.items() for k, i in enumerate(ids))
+    for got in (catalog.QUERIES["title_children"](spark, str(tmp_path)), select.numbered(df, "title", ["data_id"], "k", slice_=100).select("title", "k", "data_id")):
+        assert sorted((str(r.title), r.k, r.data_id) for r in got.collect()) == want
+
+
 def test_metrics_and_expectations(spark):
     ranks = spark.createDataFrame([(1, 1), (2, 3), (3, 20)], "query_id int, rank int")
     m = evaluate.retrieval_metrics(ranks).first()

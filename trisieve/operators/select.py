@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from trisieve.functions.keys import digest
 from trisieve.runtime import bounded_join, materialize
 
+#: Row numbers in one slice of a key.
+SLICE = 100_000
+
 
 def best_per_key(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
     """The first row of each key in the given order (which should end in a unique column)."""
@@ -35,6 +38,21 @@ def row_index(df: DataFrame, order_by: list[str], name: str = "row_index") -> Da
     return joined.withColumn(name, F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_first", "_at")
 
 
+def numbered(df: DataFrame, key: str, order_by: list[str], name: str, slice_: int = SLICE) -> DataFrame:
+    """Adds each row's number from 0 within its key, in the given order; null is a key like any other.
+
+    A key's rows are numbered in slices of row numbers, whose sizes are summed, so a very frequent key is
+    no single task.
+    """
+    rows = row_index(df, order_by, "_row").withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))).withColumn("_part", F.floor(F.col("_row") / slice_))
+    held = materialize(rows.withColumn("_in", F.row_number().over(Window.partitionBy("_key", "_part").orderBy("_row"))), "numbered")
+    sizes = held.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = materialize(sizes.select("_key", "_part", before.alias("_before")), "starts")
+    joined = bounded_join(held, starts, ["_key", "_part"], by=["_row"])
+    return joined.withColumn(name, F.col("_in") + F.col("_before") - 1).drop("_key", "_part", "_row", "_in", "_before")
+
+
 def page(df: DataFrame, key: str, after, n: int) -> DataFrame:
     """The next n rows behind a key, in key order."""
     return (df if after is None else df.filter(F.col(key) > F.lit(after))).orderBy(key).limit(n)

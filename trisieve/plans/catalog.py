@@ -580,8 +580,8 @@ def _(s, d):
 
 @query("title_children", "WITH g AS (SELECT title, list(data_id ORDER BY data_id) AS ids FROM general WHERE source = 'Open Notes EN' GROUP BY title) SELECT title, i AS k, ids[i + 1] AS data_id FROM g, range(1000) r(i) WHERE i < len(ids)")
 def _(s, d):
-    rows = read(s, d, "general").filter(c("source") == "Open Notes EN").groupBy("title").agg(F.sort_array(F.collect_list("data_id")).alias("ids"))
-    return rows.select("title", F.posexplode("ids").alias("k", "data_id")).select("title", c("k").cast("bigint").alias("k"), "data_id")
+    rows = read(s, d, "general").select("title", "data_id").filter("data_id IS NOT NULL")
+    return select.numbered(rows, "title", ["data_id"], "k").select("title", "k", "data_id")
 
 
 # --- joins and leakage ------------------------------------------------------------------------
