@@ -3,6 +3,9 @@ import re
 import unicodedata
 
 import pytest
+import regex
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from trisieve.llm import p1_markup, p2_encoding, p4_forms, p5_pieces
 
@@ -26,22 +29,62 @@ ORDINARY = [
 
 @pytest.mark.parametrize("text", MARKED)
 def test_markup_is_seen_and_gone(text):
-    assert re.search(p1_markup.SUSPECT, text)
+    assert regex.search(p1_markup.SUSPECT, text)
     assert p1_markup.marks(text) > 0
-    clean = p1_markup.extract(text, set())
+    clean, pieces = p1_markup.extract(text)
+    assert pieces > 0
     assert not re.search(r"</?\w+>|\*\*|\[\[|\{\{|&amp;|\\section|```", clean)
 
 
 @pytest.mark.parametrize("text", ORDINARY)
 def test_ordinary_signs_are_no_markup(text):
     assert p1_markup.marks(text) == 0
+    assert p1_markup.extract(text)[1] == 0
+
+
+def samples(pattern):
+    return st.from_regex(pattern).filter(lambda x: "\x00" not in x)
+
+
+@pytest.mark.parametrize("at", range(len(p1_markup.MARKS) + 1))
+def test_gate_holds_all_that_the_patterns_count(at):
+    pattern = [*p1_markup.MARKS, p1_markup.NAMED][at]
+
+    @settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(samples(pattern))
+    def check(text):
+        if p1_markup.marks(text):
+            assert regex.search(p1_markup.SUSPECT, text) and p1_markup.extract(text)[1]
+
+    check()
+
+
+@pytest.mark.parametrize("text", ['Bảng class="infobox" của tỉnh', 'href="https://a.example/b" xem', "! Tiêu đề cột", "\xa0- việc", "a\n: b"])
+def test_gate_and_extraction_see_pieces_without_brackets(text):
+    assert regex.search(p1_markup.SUSPECT, text)
+    assert p1_markup.marks(text) and p1_markup.extract(text)[1]
+
+
+KEPT = "Câu sau rất quan trọng."
+
+
+@pytest.mark.parametrize("opened", ["<ref name=a>chú thích ", "<!-- ghi chú ", "{|", '{| class="a"', "{|\n| a\n| b\n", "<table>", "<table><tr><td>a", "<script>", '<div class="a">', "<pre>", "```", "<ul><li>", "{{mẫu|", "[[Trang|", "\\begin{align}", "$$", "<table><caption>x</caption>y</table>"])
+def test_text_after_unclosed_markup_stays(opened):
+    clean, pieces = p1_markup.extract(f"mở đầu {opened}\n\n{KEPT}")
+    assert KEPT in clean and clean.startswith("mở đầu") and pieces
+
+
+def test_text_of_tables_stays():
+    clean = p1_markup.extract("<table>đầu<tr>lẻ<td>a<b>b</b></td><td>c</td></tr></table>")[0]
+    assert clean.split() == ["đầu", "lẻ", "ab", "c"]
+    assert p1_markup.extract("{|\nlời\n|-\n! a\n| b\n|}")[0].split() == ["lời", "a", "b"]
 
 
 def test_structure_stays_visible():
-    assert p1_markup.extract("<h2>Mục</h2><ul><li>một</li><li>hai</li></ul>", set()).split() == ["Mục", "•", "một", "•", "hai"]
-    assert "1\t2" in p1_markup.extract("| a | b |\n|---|---|\n| 1 | 2 |", set())
-    assert "    let x = [1];" in p1_markup.extract("trước\n```js\nlet x = [1];\n```", set())
-    assert "(1)/(2) m v^2" in p1_markup.extract(r"\[E = \frac{1}{2} m v^{2}\]", set())
+    assert p1_markup.extract("<h2>Mục</h2><ul><li>một</li><li>hai</li></ul>")[0].split() == ["Mục", "•", "một", "•", "hai"]
+    assert "1\t2" in p1_markup.extract("| a | b |\n|---|---|\n| 1 | 2 |")[0]
+    assert "    let x = [1];" in p1_markup.extract("trước\n```js\nlet x = [1];\n```")[0]
+    assert "(1)/(2) m v^2" in p1_markup.extract(r"\[E = \frac{1}{2} m v^{2}\]")[0]
 
 
 def test_markup_operator_edges(spark):
@@ -57,6 +100,19 @@ def test_host_votes_drop_link_lists(spark):
     table = rows(spark, [(str(i), "h", "a", page.format(i)) for i in range(5)])
     got = p1_markup.clean_values(table, "data_id", "source", ["positive"]).collect()
     assert all("nội dung" in r.text and "bốn" not in r.text for r in got)
+    # the same page at a host where that path holds text elsewhere: the votes decide, not the page
+    text = '<div class="nav{0}"><p>một đoạn văn dài của trang</p></div>'
+    other = rows(spark, [("x", "k", "a", page.format(0))] + [(str(i), "k", "a", text.format(i)) for i in range(9)])
+    kept = {r.data_id: r.text for r in p1_markup.clean_values(other, "data_id", "source", ["positive"]).collect()}
+    assert "bốn" in kept["x"] and "nội dung" in kept["x"]
+
+
+def test_winning_parts_inside_losing_ones_stay():
+    page = '<div class="a"><a href="x">liên kết</a><div class="b">chữ</div></div> sau'
+    assert [p for p, _, _ in p1_markup.runs(page)] == ["div.a", "div.a/div.b", "div.a", ""]
+    assert "".join(page[s:e] for _, s, e in p1_markup.runs(page)) == page
+    assert p1_markup.extract(p1_markup.winning(page, {"div.a/div.b", ""}))[0].split() == ["chữ", "sau"]
+    assert p1_markup.winning(page, set()) == page
 
 
 GOOD = "Từ năm 1938, phòng khám hiện đại cung cấp điện năng"

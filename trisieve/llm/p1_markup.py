@@ -1,10 +1,10 @@
 """Problem 1: leftovers of HTML, Markdown, wiki and LaTeX markup.
 
-Method: consensus host paths. The containers of each value are scored by text and link density, their
-generalised tag-class paths are voted on for each host (source) in Spark, and each value is extracted
-again with the host's decision: containers on a path that its host voted down are left out. Fragments
-without containers keep all of their text. Headings, lists, tables, code and formulas stay visible in
-plain form.
+Method: consensus host paths. Each page (a value with containers) is split into the runs of text that lie
+directly in one container, or outside of all. Every run scores its generalised tag-class path by text and
+link density, the bounded scores of the pages are votes for each host (source) in Spark, and each page is
+extracted again from the runs on its host's winning paths. Fragments without containers are one run.
+Headings, lists, tables, code and formulas stay visible in plain form.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from trisieve.runtime import bounded_join, materialize, spread
 
-#: A path is voted down if its score is below this in at least MIN_PAGES containers of the host.
-DROP_SCORE = 0.0
+#: A path wins at a host if its votes add up to at least this. With fewer than MIN_PAGES votes there, those of
+#: all hosts decide; with fewer than MIN_PAGES in all, the path wins.
+WIN_SCORE = 0.0
 MIN_PAGES = 3
 #: Markup may come to light when what covers it is gone; code and formulas are safe by then.
 PASSES = 3
@@ -37,8 +38,8 @@ CONTAINERS = {"article", "aside", "body", "div", "footer", "header", "main", "na
 _T = "|".join(sorted(TAGS, key=len, reverse=True))
 _LONG = "|".join(t for t in sorted(TAGS, key=len, reverse=True) if len(t) > 1)
 
-#: Any value with markup has at least one of these.
-SUSPECT = r"(?m)[<>\[\]{}*#|`$\\_~]|''|&[#A-Za-z]|==|^\s*[-+]\s|^\s*-{3,}\s*$|^[:;]|\bformula_\d"
+#: Any value with markup has at least one of these: every pattern of MARKS and NAMED needs one.
+SUSPECT = r"(?m)[<>\[\]{}*#|`$\\_~]|''|&[#A-Za-z]|==|=[\"']|^[^\p{L}\p{N}\n]*[-+!:;]"
 #: Windows paths, which are no LaTeX.
 PATH = re.compile(r"\b[A-Za-z]:\\(?:[^\\\s(){}$]+\\)*[^\\\s(){}$]*")
 
@@ -78,7 +79,7 @@ LATEX_MARKS = [
     r"\\[A-Za-z]{2,}|\\[()\[\]{}%&$#_,;!]",
     r"\\\\(?=\s|$|\[)",
     r"\$\$",
-    r"\$(?=[^\s$])(?=[^$\n]{0,120}[\\^_=+])(?![^$\n]*\d\s[^\W\d_]{2,})[^$\n]{1,120}(?<=\S)\$",
+    r"\$(?=[^\s$])(?=[^$\n]*[\\^_=+])(?![^$\n]*\d\s[^\W\d_]{2,})[^$\n]+(?<=\S)\$",
     r"[\w})\]][\^_]\{|\\[^\w\s]",
 ]
 MARKS = [re.compile(x, re.I if i < len(HTML_MARKS) - 1 else 0) for i, x in enumerate(HTML_MARKS + WIKI_MARKS + MARKDOWN_MARKS + LATEX_MARKS)]
@@ -96,55 +97,114 @@ def marks(text: str) -> int:
 
 _TAG = re.compile(rf"<(/?)({_T})\b([^<>]*)>", re.I)
 _CLASS = re.compile(r"class\s*=\s*[\"']?([^\"'>]*)", re.I)
+_LINKED = re.compile(r"(?is)<a\b[^>]*>(.*?)(?:</a>|$)")
+_PARAGRAPH = re.compile(r"(?i)<p\b")
 VOID = {"br", "hr", "img", "input", "link", "meta", "source", "wbr", "col"}
 
 
-def containers(text: str) -> list[tuple[str, float, int, int]]:
-    """(generalised path, score, start, end) of each container of a value.
+def runs(text: str) -> list[tuple[str, int, int]]:
+    """(generalised path, start, end) of the runs of a value, in order; together they are the value.
 
-    The path has tags and classes without digits; the score is the text less three times the linked
-    text, each paragraph counting extra, and grows with the container only as its logarithm would.
+    A run lies directly in one closed container, with whose tags it begins and ends; the path has the open
+    tags and their classes without digits, and is empty outside of all containers. An unclosed container is
+    none: what follows it may not belong to it.
     """
-    out, stack = [], []
+    stack: list[tuple[str, str, int]] = []
+    found: list[tuple[int, int, str]] = []
     for m in _TAG.finditer(text):
         tag = m[2].lower()
         if tag in VOID or m[3].rstrip().endswith("/"):
             continue
         if not m[1]:
-            found = _CLASS.search(m[3])
-            name = tag + "".join("." + re.sub(r"\d+", "#", c.lower()) for c in sorted((found[1] if found else "").split()))
-            stack.append((tag, name, m.start(), m.end()))
+            attribute = _CLASS.search(m[3])
+            name = tag + "".join("." + re.sub(r"\d+", "#", c.lower()) for c in sorted((attribute[1] if attribute else "").split()))
+            stack.append((tag, name, m.start()))
             continue
         at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
         if at is None:
             continue
-        opened = stack[at]
         if tag in CONTAINERS:
-            inner = text[opened[3] : m.start()]
-            linked = sum(len(_TAG.sub("", x)) for x in re.findall(r"(?is)<a\b[^>]*>(.*?)(?:</a>|$)", inner))
-            plain = len(_TAG.sub("", inner).strip())
-            score = (plain - 3 * linked) / max(1, plain) + 0.2 * len(re.findall(r"(?i)<p\b", inner))
-            path = "/".join(x[1] for x in stack[: at + 1])
-            out.append((path, score, opened[2], m.end()))
+            found.append((stack[at][2], m.end(), "/".join(x[1] for x in stack[: at + 1])))
         del stack[at:]
+    out: list[tuple[str, int, int]] = []
+    open_: list[tuple[int, str]] = [(len(text), "")]
+    place = 0
+
+    def upto(end: int) -> None:
+        nonlocal place
+        if end > place:
+            out.append((open_[-1][1], place, end))
+            place = end
+
+    for start, end, path in sorted(found, key=lambda x: (x[0], -x[1])):
+        while open_[-1][0] <= start:
+            upto(open_[-1][0])
+            open_.pop()
+        upto(start)
+        open_.append((end, path))
+    while open_:
+        upto(open_[-1][0])
+        open_.pop()
     return out
 
 
-def _score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def votes(text: str) -> dict[str, float]:
+    """The vote of a page on each of its paths, between -1 and 1.
+
+    That is the share of plain text less three times the share of linked text, and a fifth for each
+    paragraph; a path without text has no vote.
+    """
+    sums: dict[str, list[float]] = {}
+    for path, start, end in runs(text):
+        body = text[start:end]
+        plain = len(_TAG.sub("", body).strip())
+        if plain:
+            linked = sum(len(_TAG.sub("", x)) for x in _LINKED.findall(body))
+            row = sums.setdefault(path, [0.0, 0.0, 0.0])
+            row[0] += plain
+            row[1] += linked
+            row[2] += 0.2 * len(_PARAGRAPH.findall(body))
+    return {path: max(-1.0, min(1.0, 1 - 3 * linked / plain + extra)) for path, (plain, linked, extra) in sums.items()}
+
+
+def winning(text: str, winners: set[str]) -> str:
+    """The runs of a page on winning paths; all of it if none of them has text."""
+    parts = [(path, text[start:end]) for path, start, end in runs(text)]
+    if not any(path in winners and _TAG.sub("", body).strip() for path, body in parts):
+        return text
+    return "".join(body if path in winners or not _TAG.sub("", body).strip() else "\n" for path, body in parts)
+
+
+def _vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        votes: dict[tuple[str, str], list] = {}
-        for host, text in zip(pdf["host"], pdf["text"], strict=True):
-            for path, score, _, _ in containers(text):
-                vote = votes.setdefault((host, path), [0.0, 0])
-                vote[0] += score
-                vote[1] += 1
-        yield pd.DataFrame({"host": [k[0] for k in votes], "path": [k[1] for k in votes], "score": [v[0] for v in votes.values()], "pages": pd.array([v[1] for v in votes.values()], dtype="int64")})
+        found = [votes(t) for t in pdf["text"]]
+        yield pdf.assign(paths=[list(v) for v in found], votes=[list(v.values()) for v in found])
+
+
+PAGE = "(?i)<(?:" + "|".join(sorted(CONTAINERS)) + ")\\b"
+VALUES = "data_id string, host string, field_name string, text string"
+
+
+def host_paths(pages: DataFrame) -> DataFrame:
+    """(host, path, score, pages, wins): the vote of each host on its container paths."""
+    flat = pages.select("host", F.explode(F.arrays_zip("paths", "votes")).alias("v")).select("host", F.col("v.paths").alias("path"), F.col("v.votes").alias("vote"))
+    own = flat.groupBy("host", "path").agg(F.sum("vote").alias("score"), F.count(F.lit(1)).alias("pages"))
+    every = own.groupBy("path").agg(F.sum("score").alias("all_score"), F.sum("pages").alias("all_pages"))
+    wins = F.when(F.col("pages") >= MIN_PAGES, F.col("score") >= WIN_SCORE).when(F.col("all_pages") >= MIN_PAGES, F.col("all_score") >= WIN_SCORE).otherwise(True)
+    return own.join(every, "path").select("host", "path", "score", "pages", wins.alias("wins"))
+
 
+def with_winners(pages: DataFrame) -> DataFrame:
+    """The pages with the winning ones among their own paths.
 
-def host_paths(values: DataFrame) -> DataFrame:
-    """(host, path, score, pages): the vote of each host on its container paths."""
-    scored = values.filter(F.col("text").rlike("(?i)<(?:" + "|".join(sorted(CONTAINERS)) + ")\\b")).select("host", "text").mapInPandas(_score, "host string, path string, score double, pages bigint")
-    return scored.groupBy("host", "path").agg(F.sum("score").alias("score"), F.sum("pages").alias("pages"))
+    The decisions meet the paths, not the texts, and each page gets its own winners only, so that no row
+    grows with the number of paths of a host.
+    """
+    numbered = materialize(pages.mapInPandas(_vote, VALUES + ", paths array<string>, votes array<double>").withColumn("n", F.monotonically_increasing_id()), "p1v")
+    decided = materialize(host_paths(numbered).filter("wins").select("host", "path"), "p1w")
+    won = bounded_join(numbered.select("n", "host", F.explode("paths").alias("path")), decided, ["host", "path"], by=["n"], how="inner")
+    lists = won.groupBy("n").agg(F.sort_array(F.collect_list("path")).alias("winners"))
+    return numbered.join(lists, "n", "left").select("data_id", "host", "field_name", "text", "winners")
 
 
 # --- clean text -------------------------------------------------------------------------------
@@ -161,7 +221,8 @@ _CELL = "\x02"
 
 def formula(body: str) -> str:
     """LaTeX formula code as linear plain text."""
-    text = body
+    text = re.sub(r"\\(?:begin|end)\s*\{[^{}]*\}(?:\{[^{}]*\})?", " ", body)
+    text = re.sub(r"(?<!\\)&", " ", re.sub(r"\\\\(?:\[[^\]]*\])?", "; ", text))
     for _ in range(4):
         new = re.sub(r"\\[dt]?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", r"(\1)/(\2)", text)
         new = re.sub(r"\\sqrt\s*\{([^{}]*)\}", r"√(\1)", new)
@@ -179,20 +240,34 @@ def _table(rows: list[list[str]]) -> str:
 
 
 def _wiki_table(m: re.Match) -> str:
-    rows: list[list[str]] = [[]]
-    for line in m[1].split("\n")[1:]:
+    """The rows of a wiki table; lines that neither begin a cell nor follow one stay as they are."""
+    first, *lines = m[1].split("\n")
+    first = re.sub(r"[\w-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'|\S+)", "", first).strip()
+    rows: list[list[str]] = [[first] if first else []]
+    for line in lines:
         if line.startswith("|-"):
             rows.append([])
-        elif line[:1] in "|!":
+        elif line[:1] in ("|", "!"):
             rows[-1] += [c.rpartition("|")[2] if "=" in c else c for c in re.split(r"\|\||!!", line.lstrip("|!+"))]
         elif rows[-1]:
             rows[-1][-1] += " " + line
+        else:
+            rows[-1].append(line)
     return _table(rows)
 
 
+def _open_wiki_table(m: re.Match) -> str:
+    """A table without an end reaches as far as its lines that begin with a sign of a table."""
+    return _wiki_table(m) + "\n"
+
+
 def _html_table(m: re.Match) -> str:
-    rows = [[re.sub(r"<[^>]*>", "", c) for c in re.findall(r"(?is)<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</t[dh]|</tr|$)", r)] for r in re.split(r"(?i)<tr\b[^>]*>", m[1])[1:]]
-    return _table(rows)
+    head, *parts = re.split(r"(?i)<tr\b[^>]*>", m[1])
+    rows = []
+    for part in parts:
+        first, *cells = re.split(r"(?i)<t[dh]\b[^>]*>", part)
+        rows.append([c for c in (re.sub(r"<[^>]*>", "", x) for x in (first, *cells)) if c.strip()])
+    return "\n" + re.sub(r"<[^>]*>", " ", head).strip() + _table(rows)
 
 
 def _link(m: re.Match) -> str:
@@ -211,9 +286,10 @@ def _template(m: re.Match) -> str:
 #: (pattern, replacement) in order; H, L and Q mark the start of headings, list items and quotations.
 #: Kept parts stand as numbers between control characters meanwhile.
 RULES: list[tuple[re.Pattern, object]] = [(re.compile(p), r) for p, r in [
-    (r"(?is)<!--.*?(?:-->|$)", ""), (r"(?is)<(script|style)\b.*?(?:</\1\s*>|$)", ""),
-    (r"(?is)<ref\b[^>]*/>", ""), (r"(?is)<ref\b[^>]*>.*?(?:</ref>|$)", ""),
-    (r"(?is)<table\b[^>]*>(.*?)(?:</table>|$)", _html_table), (r"(?s)\{\|(.*?)(?:\n\|\}|$)", _wiki_table),
+    (r"(?s)<!--.*?-->", ""), (r"<!--|(?i:<!DOCTYPE[^<>\n]*>?)|<!\[CDATA\[|\]\]>", ""), (r"(?is)<(script|style)\b[^<>]*>.*?</\1\s*>", ""),
+    (r"(?is)<ref\b[^<>]*/>", ""), (r"(?is)<ref\b[^<>]*>(?:(?!<ref\b).)*?</ref\s*>", ""),
+    (r"(?is)<table\b[^<>]*>((?:(?!<table\b).)*?)</table\s*>", _html_table), (r"(?s)\{\|((?:(?!\{\|).)*?)\n\|\}", _wiki_table), (r"\{\|([^\n]*(?:\n[|!][^\n]*)*)", _open_wiki_table),
+    (r"(?m)^\|\}|^\|-[^\n]*$", ""), (r"\b(?:class|style|href|src|id|width|colspan)=(?:\"[^\"]*\"|'[^']*')(?![^<>\n]*>)", ""), (r"(?i)<t[dh]\b[^<>]*>", "\t"),
     (r"(?i)<h([1-6])\b[^>]*>", "\n\n"), (r"(?i)</h[1-6]\s*>", "\n\n"), (r"(?i)<li\b[^>]*>", "\n• "), (r"(?i)<(?:br|hr)\b[^>]*>", "\n"),
     (r"(?i)</?(?:p|div|section|article|blockquote|ul|ol|dl|dt|dd|tr|table|header|footer|main|body|figure|pre)\b[^<>]*>", "\n"),
     (rf"(?i)</?(?:{_T})(?:\s[^<>]*)?/?>", ""), (r"<(https?://[^\s>]*)>", r"\1"),
@@ -221,8 +297,8 @@ RULES: list[tuple[re.Pattern, object]] = [(re.compile(p), r) for p, r in [
     (r"\{\{([^{}]*)\}\}", _template), (r"\{\{([^{}]*)\}\}", _template), (r"\{\{([^{}]*)\}\}", _template),
     (r"\[\[([^\[\]]*)\]\]", _link), (r"\[(?:https?|ftp|mailto):\S*\s+([^\]\n]*)\]", r"\1"), (r"\[((?:https?|ftp)://[^\]\s]*)\]", r"\1"),
     (r"!\[([^\]\n]*)\]\([^)\n]*\)", r"\1"), (r"\[([^\]\n]*)\]\([^)\n]*\)", r"\1"), (r"\[\^[^\]\s]+\]:?", ""), (r"(?m)^\s*\[[^\]\n]+\]:\s*https?://\S+.*$", ""), (r"\[([^\[\]\n]+)\]\[\w*\]", r"\1"),
-    (r"(?m)^(={2,6})\s*([^=\n].*?)\s*=*\s*$", r"\n\2\n"), (r"(?m)^={3,}\s*$|^\s*-{3,}\s*$|^\s*\*{3,}\s*$|^\s*_{3,}\s*$", ""), (r"(?m)^\s{0,3}#{1,6}\s+(.*?)\s*#*\s*$", r"\n\1\n"),
-    (r"(?m)^\s*\|?(?:\s*:?-{2,}:?\s*\|)+\s*:?-*:?\s*$\n?", ""), (r"(?m)^\s*\|(.*)\|\s*$", lambda m: "\t".join(c.strip() for c in m[1].split("|"))),
+    (r"(?m)^[^\S\n]*(={2,6})[^\S\n]*([^=\n].*?)\s*=*\s*$", r"\n\2\n"), (r"(?m)^={3,}\s*$|^\s*-{3,}\s*$|^\s*\*{3,}\s*$|^\s*_{3,}\s*$", ""), (r"(?m)^\s{0,3}#{1,6}\s+(.*?)\s*#*\s*$", r"\n\1\n"),
+    (r"(?m)^\s*\|?(?:\s*:?-{2,}:?\s*\|)+\s*:?-*:?\s*$\n?", ""), (r"(?m)^\s*\|(.*)\|\s*$", lambda m: "\t".join(c.strip() for c in m[1].split("|"))), (r"(?m)^[!|](?=\s)[^\S\n]*", ""), (r"&(nbsp|amp|lt|gt|quot|ndash|mdash|hellip|copy|middot)\b(?!;)", lambda m: html.unescape(f"&{m[1]};")),
     (r"(?m)^\s*[-+*]\s+\[[ xX]\]\s+", "• "), (r"(?m)^\s*(?:[-+*]|[*#]+)\s+(?=\S)", "• "), (r"(?m)^\s{0,3}>\s?", ""), (r"(?m)^[:;]+\s*(?=\S)", ""),
     (r"'{2,}", ""), (r"__[A-Z]{3,}__", ""), (r"\*{2,3}|~~|`+", ""), (r"(?<![\w*\\])\*(?=[^\s*])([^*\n]*[^\s*])\*(?![\w*])", r"\1"), (r"(?<![\w_\\])_(?=[^\s_])([^_\n]*[^\s_])_(?!\w)", r"\1"), (r"(?<!\w)__(?=\S)|(?<=\S)__(?!\w)", ""),
     (r"\\(?:begin|end)\s*\{(?:itemize|enumerate|description|center|quote|document|abstract|figure|table|tabular)\*?\}(?:\[[^\]]*\]|\{[^}]*\})?", "\n"), (r"\\item\b\s*(?:\[([^\]]*)\])?", r"\n• "),
@@ -232,15 +308,16 @@ RULES: list[tuple[re.Pattern, object]] = [(re.compile(p), r) for p, r in [
 ]]
 
 _CODE = re.compile(r"(?is)```[\w-]*\n?(.*?)(?:```|$)|<pre\b[^>]*>\s*(?:<code\b[^>]*>)?(.*?)(?:</code>\s*)?(?:</pre>|$)|<(?:syntaxhighlight|source)\b[^>]*>(.*?)(?:</(?:syntaxhighlight|source)>|$)|\\begin\{(?:verbatim|lstlisting)\}(.*?)(?:\\end\{(?:verbatim|lstlisting)\}|$)|`([^`\n]+)`|<code\b[^>]*>(.*?)(?:</code>|$)")
-_MATH = re.compile(r"(?s)\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\\((.+?)\\\)|\\begin\{(?:equation|align|math|displaymath|gather)\*?\}(.+?)\\end\{(?:equation|align|math|displaymath|gather)\*?\}|<math\b[^>]*>(.+?)</math>|" + LATEX_MARKS[3].replace(r"[^$\n]{1,120}(?<=\S)\$", r"([^$\n]{1,120})(?<=\S)\$"))
+_MATH = re.compile(r"(?s)\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\\((.+?)\\\)|\\begin\{(?:equation|align|math|displaymath|gather)\*?\}(.+?)\\end\{(?:equation|align|math|displaymath|gather)\*?\}|<math\b[^>]*>(.+?)</math>|" + LATEX_MARKS[3].replace(r"[^$\n]+(?<=\S)\$", r"([^$\n]+)(?<=\S)\$"))
 
 
-def extract(text: str, dropped: set[str]) -> str:
-    """Clean text of a value; containers on a path in `dropped` are left out."""
-    if dropped and "<" in text:
-        for _, _, start, end in sorted((c for c in containers(text) if c[0] in dropped), key=lambda c: -c[2]):
-            text = text[:start] + "\n" + text[end:]
+_SIGNS = re.compile(r"[<>\[\]{}*#|`$\\_~=^]|'{2,}|^\s*[-+!:;]+")
+
+
+def extract(text: str) -> tuple[str, int]:
+    """(clean text, pieces of markup taken out) of a value."""
     kept: list[str] = []
+    pieces = 0
 
     def keep(body: str, block: bool) -> str:
         kept.append(body)
@@ -253,43 +330,58 @@ def extract(text: str, dropped: set[str]) -> str:
         body = html.unescape(re.sub(rf"(?i)</?(?:{_T})\b[^<>]*>", "", body))
         return keep(body, False) if inline else keep("\n".join("    " + x for x in body.strip("\n").split("\n")), True)
 
+    def change(pattern: re.Pattern, with_, text: str) -> str:
+        nonlocal pieces
+        text, n = pattern.subn(with_, text)
+        pieces += n
+        return text
+
     text = PATH.sub(lambda m: keep(m[0], False), text)
-    text = _CODE.sub(code, text)
-    text = _MATH.sub(lambda m: keep(formula(next(g for g in m.groups() if g)), m[0][:2] in ("$$", "\\[", "\\b")), text)
+    text = change(_CODE, code, text)
+    text = change(_MATH, lambda m: keep(formula(next(g for g in m.groups() if g)), m[0][:2] in ("$$", "\\[", "\\b")), text)
     for _ in range(PASSES):
         for pattern, with_ in RULES:
-            text = pattern.sub(with_, text)
-        text = html.unescape(text).replace("\xa0", " ")
+            text = change(pattern, with_, text)
+        plain = html.unescape(text)
+        pieces += plain != text
+        text = plain.replace("\xa0", " ")
         if not marks(text):
             break
+    else:
+        # broken pieces that no rule knows lose their signs
+        for pattern in MARKS:
+            text = change(pattern, lambda m: _SIGNS.sub("", m[0]), text)
     text = re.sub(r"[^\S\n\t]+", " ", text)
     text = re.sub(r" ?\n ?", "\n", re.sub(r"\n{3,}", "\n\n", text))
     for _ in range(3):
         text = re.sub("\x01(\\d+)\x01", lambda m: kept[int(m[1])], text)
-    return text.strip()
+    return text.strip(), pieces
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        counts, clean = [], []
-        for text, dropped in zip(pdf["text"], pdf["dropped"], strict=True):
-            n = marks(text)
-            counts.append(n)
-            clean.append(extract(text, set(dropped if dropped is not None else ())) if n else text)
-        yield pd.DataFrame({"data_id": pdf["data_id"], "field_name": pdf["field_name"], "marks": pd.array(counts, dtype="int32"), "text": clean})
+        rows = []
+        for text, winners in zip(pdf["text"], pdf["winners"], strict=True):
+            chosen = text if winners is None else winning(text, set(winners))
+            clean, n = extract(chosen)
+            n += chosen != text
+            rows.append((n, clean if n else text))
+        yield pd.DataFrame({"data_id": pdf["data_id"], "field_name": pdf["field_name"], "marks": pd.array([n for n, _ in rows], dtype="int32"), "text": [t for _, t in rows]})
 
 
 def clean_values(df: DataFrame, id_col: str, host_col: str, fields: list[str], only_marked: bool = False) -> DataFrame:
-    """(data_id, field_name, marks, text): each non-null value as clean text with its number of markup pieces.
+    """(data_id, field_name, marks, text): each non-null value as clean text and the pieces of markup taken out.
 
     Values without markup come out unchanged. Blank values stay blank, null values give no row, a null
     host is a host of its own, repeated rows stay; an empty table gives an empty result; other columns
     are ignored. `only_marked` leaves out the values without markup.
     """
     values = df.select(F.col(id_col).cast("string").alias("data_id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.col(c).cast("string").alias("text")) for c in fields])).alias("v")).select("data_id", "host", "v.*").filter("text IS NOT NULL")
+    # values without any of the signs never leave the JVM
     suspect = values.filter(F.col("text").rlike(SUSPECT))
-    down = materialize(host_paths(suspect).filter((F.col("pages") >= MIN_PAGES) & (F.col("score") < DROP_SCORE)).groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("dropped")), "p1")
-    cleaned = spread(bounded_join(suspect, down, ["host"], by=["data_id"])).select("data_id", "field_name", "text", "dropped").mapInPandas(_extract, "data_id string, field_name string, marks int, text string")
+    fragments = suspect.filter(~F.col("text").rlike(PAGE)).withColumn("winners", F.lit(None).cast("array<string>"))
+    pages = with_winners(spread(suspect.filter(F.col("text").rlike(PAGE))))
+    cleaned = spread(fragments).unionByName(pages).select("text", "winners", "data_id", "field_name").mapInPandas(_extract, "data_id string, field_name string, marks int, text string")
     if only_marked:
         return cleaned.filter("marks > 0")
     plain = values.filter(~F.col("text").rlike(SUSPECT)).select("data_id", "field_name", F.lit(0).alias("marks"), "text")
@@ -297,5 +389,5 @@ def clean_values(df: DataFrame, id_col: str, host_col: str, fields: list[str], o
 
 
 def marked_ids(df: DataFrame, id_col: str, host_col: str, fields: list[str]) -> DataFrame:
-    """(data_id, field_name) of each value that holds markup; see clean_values."""
+    """(data_id, field_name) of each value from which the extraction took markup; see clean_values."""
     return clean_values(df, id_col, host_col, fields, only_marked=True).select("data_id", "field_name")
