@@ -136,7 +136,57 @@ def test_chains_and_legacy_letters():
 @pytest.mark.parametrize("text", [GOOD, GOOD.upper(), "“ÂNGORA – ÃO”", "crème brûlée, £40, ½ cup, 90 m², § 12", "Москва гордая", "BÃI BẠCH MẠCH. XÃ HẠ", "đã có… rồi", "“CHỢ XÃ”", "3 × 4"])
 def test_right_texts_have_no_strong_evidence(text):
     chain, m, _ = p2_encoding.explain(text)
-    assert m == 0 or p2_encoding._chance(chain) ** m > 1e-4
+    assert m == 0 or p2_encoding.CHANCE[p2_encoding._kind(chain)][0] ** m > 1e-4
+
+
+GATE = regex.compile(p2_encoding.suspicious())
+
+
+@pytest.mark.parametrize("codec", p2_encoding.CODECS)
+@pytest.mark.parametrize("change", [str, str.lower, str.upper])
+def test_gate_passes_every_product_of_a_misreading(codec, change):
+    if change is not str and codec not in p2_encoding.CASED:
+        return
+    table = p2_encoding._table(codec)
+    letters = [chr(i) for i in range(0xA1, 0x530) if chr(i).isalpha()] + [chr(i) for i in range(0x1E00, 0x1F00)] + list("–—‘’“”…€₫中ก")
+    for c in letters:
+        for around in ("{}", "SCHR{}DINGER", "chữ {} chữ"):
+            misread = around.format("".join(change(x) if len(change(x)) == 1 else x for x in (table.get(b, chr(b)) for b in c.encode())))
+            if any(n for n in (p2_encoding.undo(misread, codec, v)[1] for v in (0, 1, 2))):
+                assert GATE.search(misread), (c, misread)
+
+
+def test_gate_passes_every_product_of_the_legacy_encodings():
+    words = {w for w, _ in p2_encoding.legacy_products()}
+    assert len(words) > 10_000 and all(GATE.search(w) for w in words)
+    assert all(GATE.search(w) for w in ("caàn nhaèm", "hoùc", "toâi", "coù", "kÕt", "viÕt", "SCHRÃ–DINGER"))
+    assert not any(GATE.search(w) for w in (GOOD, GOOD.upper(), "hoàn toàn, thuỷ quý – già khuỵu xoáy ngoằn giữa"))
+
+
+def test_deep_chains_are_undone_whatever_their_depth():
+    deep = "café của"
+    for _ in range(5):
+        deep = deep.encode().decode("latin-1")
+    assert p2_encoding.explain(deep)[2] == "café của"
+
+
+def test_weak_evidence_is_pooled_by_source_and_field(spark):
+    weak, strong = "Sao n¨m 2024 đã mở cửa", "Tõ n¨m 2024, c¸nh ®ång réng"
+    assert p2_encoding.evidence(weak)[0][:2] == ("tcvn3", 1)
+
+    def found(others):
+        table = rows(spark, [("w", "s", weak, None)] + [(str(i), "s", others[i % len(others)], None) for i in range(200)])
+        return {r.data_id for r in p2_encoding.garbled_ids([("t", table, ["anchor"])]).collect()}
+
+    assert "w" not in found([GOOD])  # the same value, decided by its source
+    assert "w" in found([strong, "Sãng biÓn"])
+
+
+def test_the_posterior_chooses_the_chain():
+    for rare, common in (("utf8 cp1252", "utf8 cp1258"), ("utf8 cp1258", "utf8 cp1252")):
+        model = p2_encoding.Model({"rates": {rare: 0.001, common: 0.2}, "chance": {"utf8": 1e-6}, "shown": {}, "miss": 0.02})
+        chains, clean = model.posterior("utf8 cp1252,1,0;utf8 cp1258,1,0")
+        assert max(chains, key=chains.get) == common and clean < 0.01
 
 
 def test_encoding_operator_edges(spark):
