@@ -1,31 +1,36 @@
 """Problem 3: the k most similar vectors of every vector.
 
 Method: cross-polytope hashing. Fast Hadamard pseudo-rotations turn each unit vector, the nearest signed
-axis is a digit of its bucket; several tables, and more than one probe in each, collect candidates that
-are ranked by the exact cosine. Oversized buckets are split by a further digit; a bucket that stays
-oversized is worked off in blocks, each pair of blocks in a task of its own, so that nothing is dropped.
+axis is a digit of its bucket; several tables, and the next axes of each digit, collect candidates that are
+ranked by the exact cosine. Buckets above a constant size are split by a further digit: which they are is
+joined to the vectors; a bucket that stays oversized after the last digit is worked off in blocks, each pair
+of blocks in a task of its own, so that nothing is dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trisieve.runtime import materialize, pair_join, spread
+from trisieve.runtime import bounded_join, materialize, pair_join, spread
 
 TABLES = 4
-DIGITS = 3
-#: Axes tried for each digit; the third only in buckets that were split.
-PROBES = 3
+#: Digits at most; a digit is only computed where buckets of the one before are oversized.
+DIGITS = 8
+#: Axes tried for the first digit, and for each further one that a bucket has.
+FIRST_AXES, AXES = 2, 3
 #: Vectors in a bucket before it is split by another digit, and in a block of a bucket that stays larger.
-#: One bucket's scores cost little, so large buckets are cheaper than more tables, and lose less.
-BUCKET = 16_384
-#: Candidates of a bucket that the fast pass keeps for the exact cosine.
-SHORTLIST = 24
+BUCKET = 4096
+#: Candidates of a bucket beside the k that the fast pass keeps for the exact cosine.
+SPARE = 5
+#: Scores next to each other of which the fast pass first looks at the largest.
+STRIP = 32
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -39,170 +44,241 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(width)
 
 
-def signs(dim: int, seed: int = 5) -> np.ndarray:
-    """Three random sign diagonals for each table and digit."""
-    return np.random.default_rng(seed).choice([-1.0, 1.0], size=(TABLES, DIGITS, 3, dim)).astype(np.float32)
+@lru_cache(maxsize=256)
+def rotation(width: int, table: int, digit: int) -> np.ndarray:
+    """Three sign diagonals, each followed by the Hadamard transform, as one matrix.
 
+    At the widths of embeddings one product with it is faster than the transforms of each row.
+    """
+    rng = np.random.default_rng([5, width, table, digit])
+    out = np.eye(width, dtype=np.float32)
+    for _ in range(3):
+        out = hadamard(out * rng.choice([-1.0, 1.0], size=width).astype(np.float32))
+    return out
 
-def axes(unit: np.ndarray, diagonals: np.ndarray) -> np.ndarray:
-    """The PROBES nearest signed axes of each row after one pseudo-rotation."""
-    x = unit
-    for d in diagonals:
-        x = hadamard(x * d)
-    best = np.argpartition(-np.abs(x), PROBES - 1, axis=1)[:, :PROBES]
-    rows = np.arange(len(x))[:, None]
-    best = np.take_along_axis(best, np.argsort(-np.abs(x[rows, best]), axis=1, kind="stable"), axis=1)
-    return (best * 2 + (x[rows, best] < 0)).astype(np.int16)
 
+def axes(unit: np.ndarray, table: int, digit: int, n: int) -> np.ndarray:
+    """The n nearest signed axes of each row after one pseudo-rotation, the nearest first."""
+    x = unit @ rotation(unit.shape[1], table, digit)
+    size = np.abs(x)
+    rows = np.arange(len(x))
+    best = []
+    for _ in range(n):
+        at = size.argmax(axis=1)
+        best.append(at * 2 + (x[rows, at] < 0))
+        size[rows, at] = -1.0
+    return np.stack(best, axis=1).astype(np.int64)
 
-def _encode(dim: int):
-    width = 1 << (dim - 1).bit_length()
 
+def _width(dim: int) -> int:
+    return max(2, 1 << (dim - 1).bit_length())
+
+
+def _bits(dim: int) -> tuple[int, int]:
+    """(bits of a digit, digits that fit beside the table in 60 bits)."""
+    bits = (2 * _width(dim) - 1).bit_length()
+    return bits, min(DIGITS, (60 - (TABLES - 1).bit_length()) // bits)
+
+
+def _encode(dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        diagonals = signs(width)
+        import hashlib
+
         for batch in batches:
             lists = batch.column(2)
-            raw = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, dim) if len(lists) else np.zeros((0, dim))
+            # a list counts if it has the right length and no null in it
+            right = pc.fill_null(pc.equal(pc.list_value_length(lists), dim), False)
+            ids, groups, lists = batch.column(0).filter(right), batch.column(1).filter(right), lists.filter(right)
+            values = lists.flatten()
+            raw = np.asarray(values.to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, dim)
+            if values.null_count:
+                raw[np.asarray(values.is_null()).reshape(-1, dim)] = np.nan
             with np.errstate(over="ignore", invalid="ignore"):
                 norm = np.sqrt((raw * raw).sum(axis=1))
                 usable = np.isfinite(raw).all(axis=1) & (norm > 0) & np.isfinite(norm)
             unit = (raw[usable] / norm[usable][:, None]).astype(np.float32)
-            padded = np.pad(unit, ((0, 0), (0, width - dim)))
-            codes = np.stack([np.stack([axes(padded, diagonals[t, d]) for d in range(DIGITS)], axis=1) for t in range(TABLES)], axis=1) if len(unit) else np.zeros((0, TABLES, DIGITS, PROBES), np.int16)
+            same = [hashlib.blake2b(x, digest_size=16).digest() for x in unit]
             keep = pa.array(usable)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array([x.tobytes() for x in unit], pa.binary()), pa.array([x.tobytes() for x in raw[usable].astype(np.float32)], pa.binary()), pa.array([x.tobytes() for x in codes], pa.binary())],
-                names=["vec_id", "grp", "unit", "raw", "codes"],
+                [ids.filter(keep), groups.filter(keep), pa.array([x.tobytes() for x in raw[usable].astype(np.float32)], pa.binary()), pa.array(same, pa.binary())], names=["vec_id", "grp", "raw", "same"]
             )
 
     return run
 
 
-def _counts(oversized: list[set]):
-    """Bucket sizes at one digit more than the known oversized buckets have."""
-    depth = len(oversized) + 1
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    """The vectors of a binary column, as float64."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, dim))
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    return data.view(np.float32).reshape(len(column), dim).astype(np.float64) if not offsets[0] % 4 else np.frombuffer(data.tobytes(), np.float32).reshape(len(column), dim).astype(np.float64)
+
+
+def _units(column: pa.Array, dim: int) -> np.ndarray:
+    x = _matrix(column, dim)
+    x = (x / np.sqrt((x * x).sum(axis=1))[:, None]).astype(np.float32)
+    return np.pad(x, ((0, 0), (0, _width(dim) - dim)))
+
+
+def _home(unit: np.ndarray, table: int, depth: int, bits: int) -> np.ndarray:
+    """The bucket of each row in a table with `depth` digits, as a number that begins with the table."""
+    code = np.full(len(unit), table, np.int64)
+    for d in range(depth):
+        code = (code << bits) | axes(unit, table, d, 1)[:, 0]
+    return code
+
+
+def _sizes(dim: int, depth: int):
+    """Bucket sizes at a depth, for each batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, _ = _bits(dim)
         for batch in batches:
-            groups = batch.column(0).to_pylist()
-            codes = _codes(batch.column(1))[:, :, :, 0]
-            counts: dict[tuple, int] = {}
-            for i, g in enumerate(groups):
+            unit = _units(batch.column(1), dim)
+            groups = batch.column(0).dictionary_encode()
+            which = np.asarray(groups.indices, dtype=np.int64)
+            grp, code, n = [], [], []
+            for g, name in enumerate(groups.dictionary.to_pylist()):
+                part = unit[which == g]
                 for t in range(TABLES):
-                    digits = tuple(codes[i, t, :depth].tolist())
-                    if depth == 1 or (g, t, *digits[:-1]) in oversized[-1]:
-                        key = (g, t, *digits)
-                        counts[key] = counts.get(key, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([list(k[1:]) for k in counts], pa.list_(pa.int32())), pa.array(list(counts.values()), pa.int64())], names=["grp", "path", "n"])
+                    found, counts = np.unique(_home(part, t, depth, bits), return_counts=True)
+                    grp += [name] * len(found)
+                    code.append(found)
+                    n.append(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(grp, pa.string()), pa.array(np.concatenate(code) if code else [], pa.int64()), pa.array(np.concatenate(n) if n else [], pa.int64())], names=["grp", "code", "n"])
 
     return run
 
 
-def _codes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int16).reshape(-1, TABLES, DIGITS, PROBES)
-
+def _route(dim: int, depth: int):
+    """A row for the own bucket of each vector (digit 0) and for each further axis of a digit, in each table.
 
-def _route(oversized: list[set], blocks: dict):
-    """Index and query rows of each vector: (grp, bucket, block of the index, block of the query, ...)."""
-
-    def path(g: str, t: int, digits: list[int]) -> tuple:
-        depth = 1
-        while depth < DIGITS and (g, t, *digits[:depth]) in oversized[depth - 1]:
-            depth += 1
-        return (t, *digits[:depth])
+    The code has `depth` digits, of which a bucket uses the first ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, _ = _bits(dim)
         for batch in batches:
-            ids, groups, raw = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            codes = _codes(batch.column(3)).tolist()
-            grp, bucket, part, index, vid, vec = [], [], [], [], [], []
-            for i, g in enumerate(groups):
-                for t in range(TABLES):
-                    own = codes[i][t]
-                    first = [d[0] for d in own]
-                    paths = {path(g, t, first): True}
-                    for p in range(1, PROBES if len(next(iter(paths))) > 2 else 2):
-                        for d in range(DIGITS):
-                            other = [*first[:d], own[d][p], *first[d + 1 :]]
-                            paths.setdefault(path(g, t, other), False)
-                    for where, home in paths.items():
-                        n = blocks.get((g, *where), 1)
-                        mine = hash(ids[i]) * 2654435761 % 2**32 % n
-                        # one task for each pair of an index block and a query block
-                        rows = [(b * n + mine, False) for b in range(n)]
-                        if home:
-                            rows += [(mine * n + b, True) for b in range(n)]
-                        for slot, is_index in rows:
-                            grp.append(g)
-                            bucket.append("/".join(map(str, where)))
-                            part.append(slot)
-                            index.append(is_index)
-                            vid.append(ids[i])
-                            vec.append(raw[i])
-            yield pa.RecordBatch.from_arrays([pa.array(grp, pa.string()), pa.array(bucket, pa.string()), pa.array(part, pa.int64()), pa.array(index, pa.bool_()), pa.array(vid, pa.int64()), pa.array(vec, pa.binary())], names=["grp", "bucket", "part", "is_index", "vec_id", "raw"])
+            if not len(batch):
+                continue
+            unit = _units(batch.column(2), dim)
+            for t in range(TABLES):
+                near = [axes(unit, t, d, FIRST_AXES if d == 0 else AXES) for d in range(depth)]
+                home = np.full(len(unit), t, np.int64)
+                for d in range(depth):
+                    home = (home << bits) | near[d][:, 0]
+                codes, digits = [home], [0]
+                for d in range(depth):
+                    shift = bits * (depth - 1 - d)
+                    for p in range(1, near[d].shape[1]):
+                        codes.append(home + ((near[d][:, p] - near[d][:, 0]) << shift))
+                        digits.append(d + 1)
+                take = pa.array(np.tile(np.arange(len(unit)), len(codes)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(np.concatenate(codes)), pa.array(np.repeat(np.array(digits, np.int32), len(unit)))],
+                    names=["vec_id", "grp", "raw", "code", "digit"],
+                )
 
     return run
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    data = column.to_pylist()
-    return np.frombuffer(b"".join(data), np.float32).reshape(len(data), -1)
+INDEX, QUERY = 1, 2
 
 
-def _search(k: int):
+def _search(k: int, dim: int):
     """The k nearest index vectors of each query of a bucket, by a fast pass and the exact cosine."""
 
     def run(table: pa.Table) -> pa.Table:
-        index = table.filter(table.column("is_index")).sort_by("vec_id")
-        query = table.filter(pa.compute.invert(table.column("is_index")))
-        empty = pa.table({"grp": pa.array([], pa.string()), "vec_id": pa.array([], pa.int64()), "near": pa.array([], pa.list_(pa.int64())), "sims": pa.array([], pa.list_(pa.float64()))})
-        if not len(index) or not len(query):
-            return empty
-        ids, x, y = index.column("vec_id").to_numpy(), _matrix(index.column("raw")).astype(np.float64), _matrix(query.column("raw")).astype(np.float64)
-        x /= np.sqrt((x * x).sum(axis=1))[:, None]
-        y /= np.sqrt((y * y).sum(axis=1))[:, None]
-        x32, qids = x.astype(np.float32), query.column("vec_id").to_numpy()
+        role = table.column("role").to_numpy()
+        everything, all_ids = _matrix(table.column("raw"), dim), table.column("vec_id").to_numpy()
+        everything /= np.sqrt((everything * everything).sum(axis=1))[:, None]
+        order = np.flatnonzero(role & INDEX)
+        order = order[np.argsort(all_ids[order], kind="stable")]
+        wanted = np.flatnonzero(role & QUERY)
+        if not len(order) or not len(wanted):
+            return pa.table({"grp": pa.array([], pa.string()), "vec_id": pa.array([], pa.int64()), "near": pa.array([], pa.list_(pa.int64())), "sims": pa.array([], pa.list_(pa.float64()))})
+        ids, x, y, qids = all_ids[order], everything[order], everything[wanted], all_ids[wanted]
+        keep = k + SPARE
+        strips = -(-len(ids) // STRIP)
+        x32 = np.zeros((strips * STRIP, x.shape[1]), np.float32)
+        x32[: len(ids)] = x
         near, sims = [], []
-        take = min(SHORTLIST, len(ids))
-        step = max(1, 4_000_000 // len(ids))
+        step = max(1, 4_000_000 // (strips * STRIP))
         for start in range(0, len(y), step):
             part = y[start : start + step]
             rough = part.astype(np.float32) @ x32.T
-            best = np.argpartition(-rough, take - 1, axis=1)[:, :take] if take < len(ids) else np.tile(np.arange(len(ids)), (len(part), 1))
+            rough[:, len(ids) :] = -9.0
+            if strips > keep:
+                # each of the best is in one of as many strips with the largest best
+                lanes = rough.reshape(len(part), strips, STRIP)
+                at = np.argpartition(-lanes.max(axis=2), keep - 1, axis=1)[:, :keep]
+                few = np.take_along_axis(lanes, at[:, :, None], axis=1).reshape(len(part), -1)
+                places = (at[:, :, None] * STRIP + np.arange(STRIP)).reshape(len(part), -1)
+            else:
+                few, places = rough, np.broadcast_to(np.arange(strips * STRIP), rough.shape)
+            take = min(keep, few.shape[1])
+            best = np.take_along_axis(places, np.argpartition(-few, take - 1, axis=1)[:, :take], axis=1)
             best.sort(axis=1)
+            real = best < len(ids)
+            best = np.minimum(best, len(ids) - 1)
             exact = np.round(np.einsum("qd,qcd->qc", part, x[best]), 12)
-            exact[ids[best] == qids[start : start + step][:, None]] = -9.0
-            order = np.argsort(-exact, axis=1, kind="stable")[:, :k]
-            near.append(np.take_along_axis(ids[best], order, axis=1))
-            sims.append(np.take_along_axis(exact, order, axis=1))
+            exact[~real | (ids[best] == qids[start : start + step][:, None])] = -9.0
+            rank = np.argsort(-exact, axis=1, kind="stable")[:, :k]
+            near.append(np.take_along_axis(ids[best], rank, axis=1))
+            sims.append(np.take_along_axis(exact, rank, axis=1))
         near, sims = np.concatenate(near), np.concatenate(sims)
         real = sims > -5.0
         offsets = np.concatenate(([0], np.cumsum(real.sum(axis=1)))).astype(np.int32)
-        return pa.table({"grp": query.column("grp"), "vec_id": query.column("vec_id"), "near": pa.ListArray.from_arrays(pa.array(offsets), pa.array(near[real])), "sims": pa.ListArray.from_arrays(pa.array(offsets), pa.array(sims[real]))})
+        return pa.table({"grp": table.column("grp").take(pa.array(wanted)), "vec_id": pa.array(qids), "near": pa.ListArray.from_arrays(pa.array(offsets), pa.array(near[real])), "sims": pa.ListArray.from_arrays(pa.array(offsets), pa.array(sims[real]))})
 
     return run
 
 
-def _oversized(encoded: DataFrame, bucket: int) -> tuple[list[set], dict]:
-    """Oversized buckets of each depth and the number of blocks of those that no digit splits.
-
-    The limit grows so that a table has at most 65,536 oversized buckets at a depth: what comes to the
-    driver is bounded.
-    """
-    limit = max(bucket, encoded.count() // 65_536)
-    found: list[set] = []
-    blocks: dict = {}
-    for depth in range(1, DIGITS + 1):
-        sizes = encoded.select("grp", "codes").mapInArrow(_counts(found), "grp string, path array<int>, n bigint").groupBy("grp", "path").agg(F.sum("n").alias("n"))
-        rows = sizes.filter(F.col("n") > limit).collect()
-        if depth == DIGITS:
-            blocks = {(r.grp, *r.path): -(-r.n // limit) for r in rows}
-        elif not rows:
+def oversized(vectors: DataFrame, dim: int, bucket: int) -> list[DataFrame]:
+    """For each depth the buckets (grp, code, n) above the limit; the last one may be of the last digit."""
+    bits, most = _bits(dim)
+    found: list[DataFrame] = []
+    while len(found) < most:
+        sizes = vectors.select("grp", "raw").mapInArrow(_sizes(dim, len(found) + 1), "grp string, code bigint, n bigint")
+        if found:
+            above = found[-1].select("grp", F.col("code").alias("above"))
+            sizes = sizes.withColumn("above", F.shiftright("code", bits)).join(above, ["grp", "above"], "left_semi").drop("above")
+        large = materialize(sizes.groupBy("grp", "code").agg(F.sum("n").alias("n")).filter(F.col("n") > bucket), "p3o")
+        if large.isEmpty():
             break
-        else:
-            found.append({(r.grp, *r.path) for r in rows})
-    found += [set() for _ in range(DIGITS - len(found))]
-    return found, blocks
+        found.append(large)
+    return found
+
+
+def routed(vectors: DataFrame, dim: int, bucket: int) -> DataFrame:
+    """(grp, bucket, part, role, vec_id, raw): where each vector is searched, and where it searches."""
+    bits, most = _bits(dim)
+    large = oversized(vectors, dim, bucket)
+    depth = min(most, len(large) + 1)
+    rows = vectors.select("vec_id", "grp", "raw").mapInArrow(_route(dim, depth), "vec_id bigint, grp string, raw binary, code bigint, digit int")
+    used = F.lit(1)
+    for d in range(1, depth):
+        rows = rows.withColumn("_at", F.shiftright("code", bits * (depth - d)))
+        rows = bounded_join(rows, large[d - 1].select("grp", F.col("code").alias("_at"), F.lit(True).alias(f"_over{d}")), ["grp", "_at"], by=["vec_id", "code"]).drop("_at")
+        used = F.when(F.col(f"_over{d}").isNotNull() & (used == d), F.lit(d + 1)).otherwise(used)
+    # a further axis of a digit that the bucket does not use leads to the own bucket
+    rows = rows.withColumn("_used", used).filter(F.col("digit") <= F.col("_used"))
+    rows = rows.withColumn("bucket", F.expr(f"shiftright(code, cast({bits} * ({depth} - _used) as int))") * 16 + F.col("_used"))
+    role = F.when(F.col("digit") == 0, INDEX + QUERY).otherwise(QUERY)
+    if len(large) < most:
+        return rows.select("grp", "bucket", F.lit(0).cast("bigint").alias("part"), role.alias("role"), "vec_id", "raw")
+    # buckets that the last digit leaves too large: one task for each pair of an index block and a query block
+    blocks = large[-1].select("grp", (F.col("code") * 16 + depth).alias("bucket"), F.ceil(F.col("n") / F.lit(bucket)).alias("_n"))
+    rows = bounded_join(rows, materialize(blocks, "p3b"), ["grp", "bucket"], by=["vec_id", "code"]).withColumn("_n", F.coalesce("_n", F.lit(1)))
+    mine = F.pmod(F.xxhash64("vec_id"), F.col("_n"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
+    rows = rows.withColumn("_mine", mine).withColumn("_b", other)
+    index = rows.filter("digit = 0").select("grp", "bucket", (F.col("_mine") * F.col("_n") + F.col("_b")).alias("part"), F.when(F.col("_mine") == F.col("_b"), INDEX + QUERY).otherwise(INDEX).alias("role"), "vec_id", "raw")
+    query = rows.filter("digit > 0 OR _mine <> _b").select("grp", "bucket", (F.col("_b") * F.col("_n") + F.col("_mine")).alias("part"), F.lit(QUERY).alias("role"), "vec_id", "raw")
+    return index.unionByName(query)
 
 
 def nearest(df: DataFrame, id_col: str, group_col: str, vec_col: str, k: int = 5, dim: int = 64, bucket: int = BUCKET) -> DataFrame:
@@ -213,19 +289,16 @@ def nearest(df: DataFrame, id_col: str, group_col: str, vec_col: str, k: int = 5
     empty table gives an empty result; other columns are ignored; ids are taken as unique.
     """
     rows = df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(group_col).cast("string").alias("grp"), F.col(vec_col).alias("vec"))
-    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("grp").isNotNull() & (F.size("vec") == dim) & ~F.exists("vec", lambda x: x.isNull()))
-    encoded = materialize(spread(rows).mapInArrow(_encode(dim), "vec_id bigint, grp string, unit binary, raw binary, codes binary"), "p3e")
-    members = encoded.select("vec_id", "grp", F.unhex(F.md5("unit")).alias("same"))
-    classes = materialize(members.groupBy("grp", "same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")), "p3c")
-    repeated = classes.filter("n > 1")
+    rows = rows.filter(F.col("vec_id").isNotNull() & F.col("grp").isNotNull() & F.col("vec").isNotNull())
+    encoded = materialize(spread(rows).mapInArrow(_encode(dim), "vec_id bigint, grp string, raw binary, same binary"), "p3e")
+    members = encoded.select("vec_id", "grp", "same")
+    repeated = materialize(members.groupBy("grp", "same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "p3c")
     doubles = members.join(repeated, ["grp", "same"])
     first = doubles.withColumn("at", F.row_number().over(Window.partitionBy("grp", "same").orderBy("vec_id"))).filter(F.col("at") <= k + 1)
     first = materialize(first.groupBy("rep").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "p3d")
-    others = doubles.filter("vec_id <> rep").select("vec_id", "rep", "n")
-    single = materialize(encoded.join(others.select("vec_id"), "vec_id", "left_anti").select("vec_id", "grp", "raw", "codes"), "p3s")
-    found, blocks = _oversized(single, bucket)
-    routed = single.mapInArrow(_route(found, blocks), "grp string, bucket string, part bigint, is_index boolean, vec_id bigint, raw binary")
-    lists = routed.groupBy("grp", "bucket", "part").applyInArrow(_search(k), "grp string, vec_id bigint, near array<bigint>, sims array<double>")
+    others = materialize(doubles.filter("vec_id <> rep").select("vec_id", "rep", "n"), "p3m")
+    single = encoded.join(others.select("vec_id"), "vec_id", "left_anti").select("vec_id", "grp", "raw")
+    lists = routed(single, dim, bucket).groupBy("grp", "bucket", "part").applyInArrow(_search(k, dim), "grp string, vec_id bigint, near array<bigint>, sims array<double>")
     merged = lists.select("grp", "vec_id", F.arrays_zip((F.transform("sims", lambda s: -s)).alias("d"), F.col("near").alias("id")).alias("found")).groupBy("grp", "vec_id").agg(F.collect_list("found").alias("found"))
     best = F.slice(F.array_sort(F.array_distinct(F.flatten("found"))), 1, k)
     near = merged.select("grp", F.col("vec_id").alias("rep"), F.explode_outer(best).alias("hit")).select("grp", "rep", F.col("hit.id").alias("near"), (-F.col("hit.d")).alias("cosine"))
