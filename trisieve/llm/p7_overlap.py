@@ -4,22 +4,21 @@ Method: content-defined chunks. Rolling hashes cut the normalised words of each
 chunks, chunk digests are joined across the splits, and shared chunk lengths are summed into overlap
 fractions. Only each value's rarest chunks enter the join: whatever the pair, if chunks at about the same
 place make up at least MIN_OVERLAP of the longer value, the rarest of them is among these, so no such pair
-is lost. The values are cut CUTTINGS times with different hashes, since a few edits may spoil most chunks of
-one cutting. Pairs whose edits spoil them in every cutting come from segments: a training value is cut into
-runs of SEGMENT words, more than a pair can have edits, and an edit spoils at most one; so a run of one more
-than the most edits, the rarest ones, has one that stands unchanged in the other value near its place. That
-loses no pair. An exact word edit distance then decides.
+is lost. Pairs whose edits spoil their chunks come from segments: a training value is cut into runs of
+SEGMENT words, more than a pair can have edits, and an edit spoils at most one; so a run of one more than the
+most edits, the rarest ones, has one that stands unchanged in the other value near its place. That loses no
+pair, so one cutting is enough. An exact word edit distance then decides.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,10 +27,6 @@ from trisieve.runtime import materialize, pair_join, spread
 #: Words in the rolling window, and one cut in so many positions.
 WINDOW = 2
 DIVISOR = 5
-CUTTINGS = 4
-#: Values of up to SHORT words are also cut into finer chunks, once more.
-SHORT = 22
-FINE = 2
 #: Share of the longer value's words that the shared chunks of a candidate pair from chunks hold at least.
 MIN_OVERLAP = 0.25
 #: Words in a segment; with fewer than LEAST words no edit is allowed, and a value of LEAST has shorter segments.
@@ -41,8 +36,9 @@ LEAST = 9
 SKETCH = 4
 BITS = [f"s{i}" for i in range(SKETCH)]
 
-_PRIME = 1_000_003
-_MASK = (1 << 64) - 1
+_PRIME = np.uint64(1_000_003)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 def words_of(c: str) -> Column:
@@ -50,104 +46,128 @@ def words_of(c: str) -> Column:
     return F.array_join(F.regexp_extract_all(F.lower(F.col(c)), F.lit(r"([\p{L}\p{N}]+)"), 1), " ")
 
 
-def chunk(words: list[str], cutting: int = 0) -> list[tuple[int, int, int]]:
-    """(digest, words, first word) of each chunk; the k-th repetition of a chunk has a digest of its own."""
-    out, seen, start = [], Counter(), 0
-    hashes = [zlib.crc32(w.encode()) for w in words]
-    drop = pow(_PRIME, WINDOW, 1 << 64)
-    rolling = 0
-    for i, h in enumerate(hashes):
-        rolling = (rolling * _PRIME + h - (hashes[i - WINDOW] * drop if i >= WINDOW else 0)) & _MASK
-        mixed = ((rolling ^ (rolling >> 29)) + cutting * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 & _MASK
-        if ((mixed ^ (mixed >> 32)) * 0x94D049BB133111EB & _MASK) >> 40 < (1 << 24) // (FINE if cutting == CUTTINGS else DIVISOR) or i == len(words) - 1:
-            body = " ".join(words[start : i + 1]).encode()
-            n = seen[body]
-            seen[body] += 1
-            body += b"%d %d" % (n, cutting)
-            digest = (zlib.crc32(body) | zlib.crc32(body, 0x5BD1E995) << 32) * 0x94D049BB133111EB & _MASK
-            out.append((digest - (1 << 63), i + 1 - start, start))
-            start = i + 1
-    return out
-
-
-def cuttings(words: list[str]) -> range:
-    return range(CUTTINGS + (len(words) <= SHORT))
-
-
-def sketch(words: list[str]) -> list[int]:
-    """SKETCH numbers of 64 bits, one of which stands for each word; an edit changes at most two bits."""
-    bits = 0
-    for w in words:
-        bits |= 1 << zlib.crc32(w.encode()) % (64 * SKETCH)
-    parts = [bits >> 64 * i & _MASK for i in range(SKETCH)]
-    return [x - (1 << 64) if x >> 63 else x for x in parts]
-
-
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Chunk rows, and for each value one row without a digest that carries its sketch."""
-    names = ["cls", "field_name", "cutting", "digest", "n", "at", "total", "train", "eval", *BITS]
-    kinds = {"cutting": "int32", "digest": "Int64", "n": "int32", "at": "int32", "total": "int32", **dict.fromkeys(BITS, "Int64")}
-    no_bits = [None] * SKETCH
-    for pdf in batches:
-        for start in range(0, len(pdf), 500):
-            rows = []
-            for key, field, text, train, evals in pdf.iloc[start : start + 500].itertuples(index=False):
-                words = text.split(" ")
-                total = len(words)
-                rows.append((key, field, 0, None, 0, 0, total, train > 0, evals > 0, *sketch(words)))
-                for cutting in cuttings(words):
-                    rows += [(key, field, cutting, digest, n, at, total, train > 0, evals > 0, *no_bits) for digest, n, at in chunk(words, cutting)]
-            columns = dict(zip(names, zip(*rows, strict=True), strict=True))
-            yield pd.DataFrame({c: pd.array(v, dtype=kinds[c]) if c in kinds else list(v) for c, v in columns.items()})
-
-
-def grams(words: list[str], size: int) -> np.ndarray:
-    """The digest of the `size` words from each position on."""
-    hashes = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    out = np.full(max(0, len(words) - size + 1), size, dtype=np.uint64)
-    for i in range(size):
-        out = (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + hashes[i : len(words) - size + 1 + i]
-    return out.view(np.int64)
-
-
-def segments(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(digests, first words) of a value's segments, one after the other.
-
-    A value of n words has at most n // 9 edits to another, whichever is longer, and n // SEGMENT is more;
-    only 9 words, to which one may be added, need segments of one word less.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * _MIX
+    return x ^ (x >> np.uint64(32))
+
+
+class Words:
+    """The words of a batch of values, one value after the other, as hashes."""
+
+    def __init__(self, texts: list[str]) -> None:
+        words = [t.split(" ") for t in texts]
+        self.total = np.array([len(w) for w in words], dtype=np.int64)
+        raw = np.array([zlib.crc32(x.encode()) for w in words for x in w], dtype=np.uint64)
+        self.raw = raw
+        self.hash = raw * _ODD
+        self.start = np.concatenate(([0], np.cumsum(self.total)))[:-1]
+        self.value = np.repeat(np.arange(len(texts)), self.total)
+        self.place = np.arange(len(raw)) - self.start[self.value]
+
+    def sketches(self) -> np.ndarray:
+        """SKETCH numbers of 64 bits for each value, one bit of which stands for each word; an edit changes at most two."""
+        bit = self.raw % np.uint64(64 * SKETCH)
+        one = np.uint64(1) << (bit & np.uint64(63))
+        parts = [np.bitwise_or.reduceat(np.where(bit >> np.uint64(6) == i, one, np.uint64(0)), self.start) for i in range(SKETCH)]
+        return np.stack(parts, axis=1).view(np.int64)
+
+    def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(digests, whether they lie in one value) of the `size` words from each position on."""
+        n = len(self.hash)
+        out = np.full(n, size, dtype=np.uint64)
+        for i in range(size):
+            out = _mixed(out) + np.concatenate((self.hash[i:], np.zeros(min(i, n), np.uint64)))
+        return _mixed(out).view(np.int64), self.place + size <= self.total[self.value]
+
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(value, digest, words, first word) of each chunk; the k-th repetition of a chunk in a value has a digest of its own."""
+        n = len(self.hash)
+        rolling = np.zeros(n, np.uint64)
+        for i in range(WINDOW):
+            before = np.concatenate((np.zeros(min(i, n), np.uint64), self.hash[: n - i]))
+            rolling = rolling * _PRIME + np.where(self.place >= i, before, np.uint64(0))
+        last = self.place == self.total[self.value] - 1
+        cut = (_mixed(rolling) >> np.uint64(40) < np.uint64((1 << 24) // DIVISOR)) | last
+        ends = np.flatnonzero(cut)
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        # a polynomial of the words of each chunk, from sums over the whole batch
+        powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, _ODD))))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mixed(self.hash) * powers[:n])))
+        inverse = np.uint64(pow(int(_ODD), -1, 1 << 64))
+        back = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, inverse))))
+        size = ends - starts + 1
+        digest = _mixed((sums[ends + 1] - sums[starts]) * back[starts] + size.astype(np.uint64))
+        value = self.value[starts]
+        order = np.lexsort((starts, digest, value))
+        new = np.ones(len(order), bool)
+        new[1:] = (digest[order][1:] != digest[order][:-1]) | (value[order][1:] != value[order][:-1])
+        run = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        repeat = np.empty(len(order), np.uint64)
+        repeat[order] = run
+        digest = np.where(repeat > 0, _mixed(digest + repeat * _PRIME), digest)
+        return value, digest.view(np.int64), size, self.place[starts]
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray]:
+        """(digests, positions) of the segments of each value, one after the other.
+
+        A value of n words has at most n // 9 edits to another, whichever is longer, and n // SEGMENT is more;
+        only 9 words, to which one may be added, need segments of one word less.
+        """
+        return self._picked([(SEGMENT - 1, self.total == LEAST, True), (SEGMENT, self.total > LEAST, True)])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(digests, positions) of all runs of words that may be another value's segment."""
+        return self._picked([(SEGMENT - 1, self.total == LEAST + 1, False), (SEGMENT, self.total >= LEAST, False)])
+
+    def _picked(self, kinds: list[tuple[int, np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray]:
+        digests, positions = [], []
+        for size, which, apart in kinds:
+            found, inside = self.grams(size)
+            at = np.flatnonzero(inside & which[self.value] & (self.place % size == 0 if apart else True))
+            digests.append(found[at])
+            positions.append(at)
+        return np.concatenate(digests), np.concatenate(positions)
+
+
+CHUNK, TRAIN_SEGMENT, EVAL_WINDOW = 0, 1, 2
+_PARTS = {"cls": pa.binary(), "field_name": pa.string(), "kind": pa.int32(), "digest": pa.int64(), "n": pa.int32(), "low": pa.int32(), "high": pa.int32(), "total": pa.int32(), "train": pa.bool_(), "eval": pa.bool_(), **dict.fromkeys(BITS, pa.int64())}
+PARTS = "cls binary, field_name string, kind int, digest bigint, n int, low int, high int, total int, train boolean, eval boolean, " + ", ".join(f"{x} bigint" for x in BITS)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chunks of each value, the segments of training values and the windows of evaluation values.
+
+    Of a chunk `n` is its words and `low` its first word; of a run of words in segments and windows how often
+    it comes, and its first and last place.
     """
-    size = SEGMENT - (len(words) == LEAST)
-    found = grams(words, size)[::size] if len(words) >= LEAST else np.empty(0, np.int64)
-    return found, np.arange(len(found)) * size
-
-
-def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(digests, first words) of all runs of words that may be another value's segment."""
-    if len(words) < LEAST:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    parts = [grams(words, size) for size in range(SEGMENT - (len(words) == LEAST + 1), SEGMENT + 1)]
-    return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
-
-
-def _runs(of):
-    """For each value its sketch and its distinct runs: digest, how often, first and last place."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for key, field, text in pdf.itertuples(index=False):
-                words = text.split(" ")
-                digests, at = of(words)
-                if not len(digests):
-                    continue
-                order = np.lexsort((at, digests))
-                digests, at = digests[order], at[order]
-                starts = np.flatnonzero(np.r_[True, digests[1:] != digests[:-1]])
-                ends = np.r_[starts[1:], len(digests)]
-                rows.append((key, field, len(words), *sketch(words), digests[starts], ends - starts, at[starts], at[ends - 1]))
-            yield pd.DataFrame(rows, columns=["cls", "field_name", "total", *BITS, "digest", "n", "low", "high"])
-
-    return run
+    for whole in batches:
+        for start in range(0, len(whole), 2000):
+            batch = whole.slice(start, 2000)
+            words = Words(batch.column(2).to_pylist())
+            train, evals = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False)) > 0 for i in (3, 4))
+            sketches = words.sketches()
+            value, digest, n, low = words.chunks()
+            sides = [(CHUNK, value, digest, n, low, low)]
+            for kind, side, (found, at) in ((TRAIN_SEGMENT, train, words.segments()), (EVAL_WINDOW, evals, words.windows())):
+                mine = side[words.value[at]]
+                found, at = found[mine], at[mine]
+                owner = words.value[at]
+                order = np.lexsort((at, found, owner))
+                found, at, owner = found[order], at[order], owner[order]
+                first = np.flatnonzero(np.r_[True, (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])]) if len(found) else np.zeros(0, np.int64)
+                ends = np.r_[first[1:], len(found)] if len(found) else first
+                sides.append((kind, owner[first], found[first], ends - first, words.place[at[first]], words.place[at[ends - 1]]))
+            kind = np.concatenate([np.full(len(x[1]), x[0]) for x in sides])
+            value, digest, n, low, high = (np.concatenate([x[i] for x in sides]) for i in range(1, 6))
+            take = pa.array(value)
+            columns = [batch.column(0).take(take), batch.column(1).take(take), kind, digest, n, low, high, words.total[value], train[value], evals[value], *sketches[value].T]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kind_) for c, kind_ in zip(columns, _PARTS.values(), strict=True)], names=list(_PARTS))
+
+
+def chunk(words: list[str]) -> list[tuple[int, int, int]]:
+    """(digest, words, first word) of each chunk of one value."""
+    _, digest, n, at = Words([" ".join(words)]).chunks()
+    return list(zip(digest.tolist(), n.tolist(), at.tolist(), strict=True))
 
 
 def overlap(a: list[tuple[int, int, int]], b: list[tuple[int, int, int]], longer: int) -> float:
@@ -191,15 +211,14 @@ def within(a: list[str], b: list[str], most: int) -> bool:
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cut = lru_cache(maxsize=20_000)(lambda text: [chunk(text.split(" "), c) for c in cuttings(text.split(" "))])
+    cut = lru_cache(maxsize=20_000)(lambda text: chunk(text.split(" ")))
     for pdf in batches:
         keep, shares = [], []
         for x, y in zip(pdf["words_eval"], pdf["words_train"], strict=True):
             a, b = x.split(" "), y.split(" ")
             longer = max(len(a), len(b))
-            share = max(overlap(p, q, longer) for p, q in zip(cut(x), cut(y), strict=False))
             keep.append(within(a, b, longer // 10))
-            shares.append(share)
+            shares.append(overlap(cut(x), cut(y), longer) if keep[-1] else 0.0)
         pdf["overlap"] = shares
         yield pdf.loc[keep, ["field_name", "cls_eval", "cls_train", "overlap"]]
 
@@ -213,16 +232,10 @@ def _classes(df: DataFrame, id_col: str, split_col: str, fields: list[str], trai
     return values.drop("words"), materialize(classes, "p7c")
 
 
-def _segment_pairs(texts: DataFrame) -> DataFrame:
+def _segment_pairs(parts: DataFrame) -> DataFrame:
     """(field_name, cls_eval, cls_train): all pairs of classes that may be within the number of edits."""
-    rows = "cls binary, field_name string, total int, " + ", ".join(f"{x} bigint" for x in BITS) + ", digest array<bigint>, n array<bigint>, low array<bigint>, high array<bigint>"
-
-    def side(which: str, of, label: str) -> DataFrame:
-        found = spread(texts.filter(which).select("cls", "field_name", "words")).mapInPandas(_runs(of), rows)
-        return materialize(found.select("cls", "field_name", "total", *BITS, F.explode(F.arrays_zip("digest", "n", "low", "high")).alias("x")).select("cls", "field_name", "total", *BITS, "x.*"), label)
-
     on = ["field_name", "digest"]
-    train, evals = side("n_train > 0", segments, "p7s"), side("n_eval > 0", windows, "p7w")
+    train, evals = parts.filter(F.col("kind") == TRAIN_SEGMENT), parts.filter(F.col("kind") == EVAL_WINDOW)
     count = lambda df, name: df.groupBy(*on).agg(F.count(F.lit(1)).alias(name))
     rarity = materialize(count(train, "in_train").join(count(evals, "in_eval"), on), "p7t")
     # segments that no evaluation value has are the rarest of all; they need no row, only their number
@@ -231,7 +244,7 @@ def _segment_pairs(texts: DataFrame) -> DataFrame:
     before = F.coalesce(F.sum("n").over(whole.orderBy("in_eval", "digest").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     size = F.when(F.col("total") == LEAST, SEGMENT - 1).otherwise(SEGMENT)
     ranked = met.withColumn("rarer", F.floor(F.col("total") / size) - F.sum("n").over(whole) + before)
-    prefix = materialize(ranked.filter(F.col("rarer") <= F.floor(F.col("total") / 9)).drop("n", "rarer", "in_train", "in_eval"), "p7u")
+    prefix = materialize(ranked.filter(F.col("rarer") <= F.floor(F.col("total") / 9)).drop("n", "rarer", "in_train", "in_eval", "kind", "train", "eval"), "p7u")
     named = lambda df, x: df.select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "total", "low", "high", *BITS)])
     near = pair_join(named(prefix, "train"), named(evals, "eval"), on, count(prefix, "rows"), "rows", by=["cls_train"])
     most = _most()
@@ -251,25 +264,21 @@ def _may_match() -> Column:
 def class_links(classes: DataFrame) -> DataFrame:
     """(field_name, cls_eval, cls_train, overlap): classes of almost equal values in different splits."""
     texts = classes.filter("words <> ''")
-    rows = "cls binary, field_name string, cutting int, digest bigint, n int, at int, total int, train boolean, eval boolean, " + ", ".join(f"{x} bigint" for x in BITS)
-    chunks = materialize(spread(texts.select("cls", "field_name", "words", "n_train", "n_eval")).mapInPandas(_chunks, rows), "p7k")
+    parts = materialize(spread(texts.select("cls", "field_name", "words", "n_train", "n_eval")).mapInArrow(_parts, PARTS), "p7k")
     on = ["field_name", "digest"]
-    found, carriers = chunks.filter("digest IS NOT NULL"), chunks.filter("digest IS NULL")
+    found = parts.filter(F.col("kind") == CHUNK)
     rarity = found.groupBy(*on).agg(F.count_if("train").alias("in_train"), F.count_if("eval").alias("in_eval")).filter("in_train > 0 AND in_eval > 0")
     rarity = materialize(rarity, "p7r")
     # only chunks of both splits can be shared; the rarest come last here, in one order for all values
-    rank = Window.partitionBy("cls", "cutting").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), F.asc_nulls_first("digest")).rowsBetween(Window.unboundedPreceding, 0)
-    none = F.lit(0).cast("bigint")
-    ranked = pair_join(found, rarity, on, rarity.withColumn("rows", F.col("in_train") + F.col("in_eval")), "rows", by=["cls"]).unionByName(carriers.withColumns({"in_train": none, "in_eval": none}))
-    whole = Window.partitionBy("cls")
-    ranked = ranked.select(*[c for c in ranked.columns if c not in BITS], *[F.max(c).over(whole).alias(c) for c in BITS], F.sum("n").over(rank).alias("upto"))
-    prefix = ranked.filter((F.col("upto") >= MIN_OVERLAP * F.col("total")) & F.col("digest").isNotNull())
-    prefix = materialize(prefix.select("cls", *on, "total", "at", "train", "eval", *BITS), "p7p")
+    rank = Window.partitionBy("cls").orderBy(F.desc(F.col("in_train") + F.col("in_eval")), F.asc_nulls_first("digest")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = pair_join(found, rarity, on, rarity.withColumn("rows", F.col("in_train") + F.col("in_eval")), "rows", by=["cls"]).withColumn("upto", F.sum("n").over(rank))
+    prefix = ranked.filter(F.col("upto") >= MIN_OVERLAP * F.col("total"))
+    prefix = materialize(prefix.select("cls", *on, "total", F.col("low").alias("at"), "train", "eval", *BITS), "p7p")
     side = lambda x: prefix.filter(x).select(*on, *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "total", "at", *BITS)])
     left, right = side("train"), side("eval")
     sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
     near = pair_join(left, right, on, sizes, "rows", by=["cls_train"]).filter(_may_match() & (F.abs(F.col("at_train") - F.col("at_eval")) <= _most()))
-    candidates = near.select("field_name", "cls_eval", "cls_train").unionByName(_segment_pairs(texts)).distinct()
+    candidates = near.select("field_name", "cls_eval", "cls_train").unionByName(_segment_pairs(parts)).distinct()
     text = lambda x: classes.select(F.col("cls").alias(f"cls_{x}"), F.col("words").alias(f"words_{x}"))
     checked = candidates.join(text("eval"), "cls_eval").join(text("train"), "cls_train").mapInPandas(_verify, "field_name string, cls_eval binary, cls_train binary, overlap double")
     same = classes.filter("n_train > 0 AND n_eval > 0").select("field_name", F.col("cls").alias("cls_eval"), F.col("cls").alias("cls_train"), F.lit(1.0).alias("overlap"))
