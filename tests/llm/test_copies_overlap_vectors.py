@@ -46,7 +46,30 @@ def test_trie_counts():
     trie = p6_copies.Trie()
     for i, k in enumerate(keys):
         trie.add(k, 1, f"{i:03}")
-    assert {k: (n, least) for k, n, least in trie.items()} == {k: (keys.count(k), f"{keys.index(k):03}") for k in keys}
+    assert {k: (n, least, e) for k, n, least, e in trie.items()} == {k: (keys.count(k), f"{keys.index(k):03}", keys.count(k)) for k in keys}
+    assert len(list(trie.items())) == len(set(keys))
+
+
+def test_buckets_split_until_they_fit(spark):
+    head = "rất dài chung " * 12
+    data = [(f"{i:04}", (head if i % 3 else "") + f"câu {i % 400:03}") for i in range(1200)] + [(f"x{i:03}", "một câu lặp lại") for i in range(300)]
+    table = spark.createDataFrame(data, "data_id string, a string").repartition(7)
+    folded = p6_copies.folded_records(table, "data_id", ["a"])
+    sizes = p6_copies.radix_buckets(folded, 40).groupBy("bucket").count().collect()
+    assert max(r["count"] for r in sizes) <= 40 and max(len(r.bucket) for r in sizes) > p6_copies.HEAD
+    got = {r.keep_id: r.copies for r in p6_copies.distinct_records(table, "data_id", ["a"], 40).collect()}
+    groups = defaultdict(list)
+    for i, a in data:
+        groups[a].append(i)
+    assert got == {min(g): len(g) for g in groups.values()}
+
+
+def test_production_limit_splits_at_the_driver_s_size(spark):
+    rows = spark.range(45_000).selectExpr("concat('r', id) AS data_id", "concat('câu hỏi số ', id % 44000) AS a")
+    folded = p6_copies.folded_records(rows, "data_id", ["a"])
+    sizes = [r["count"] for r in p6_copies.radix_buckets(folded, p6_copies.BUCKET_ROWS).groupBy("bucket").count().collect()]
+    assert max(sizes) <= p6_copies.BUCKET_ROWS and len(sizes) > 1
+    assert p6_copies.copies(rows, "data_id", ["a"]).count() == 1000
 
 
 def test_edit_distance():
