@@ -221,6 +221,32 @@ def test_pieces_round_trip():
     assert all(text[s:e].rstrip().endswith(".") for _, s, e in p5_pieces.pieces(text))
 
 
+def kinds(text):
+    return [(n.kind, text[n.start : n.end]) for n in p5_pieces.blocks(text, 0, len(text))]
+
+
+def test_lists_tables_and_code_are_nodes():
+    text = "# Mục\nđoạn một\nđoạn hai\n\n- a\n  - b\n- c\n\n| x | y |\n| 1 | 2 |\n\n```\nm = 1\n\nn = 2\n```\nsau\n{|\n| 1\n|}\n<pre>\nq\n</pre>\ncuối"
+    assert [k for k, _ in kinds(text)] == ["heading", "paragraph", "list", "table", "code", "paragraph", "table", "code", "paragraph"]
+    assert "".join(x for _, x in kinds(text)) == text
+    nested = "- một\n  - hai\n  - ba\n- bốn\n"
+    assert [nested[n.start : n.end] for n in p5_pieces.items(nested, 0, len(nested))] == ["- một\n  - hai\n  - ba\n", "- bốn\n"]
+    assert kinds("```\nmở mà không đóng")[0][0] == "code"
+
+
+def test_siblings_stay_together_before_they_are_cut():
+    lines = "".join(f"- việc số {i} của nhóm\n" for i in range(4))
+    code = "```\n" + "x = 1\n" * 8 + "```\n"
+    text = "lời đầu khá dài. " * 4 + "\n\n" + lines + "\n" + code + "\n" + "lời cuối. " * 6
+    got = [text[s:e] for s, e in p5_pieces.cut(text, 130, 20)]
+    assert "".join(got) == text and all(len(x) <= 130 for x in got)
+    assert any(code in x for x in got) and any(lines in x for x in got)
+    long_list = "".join(f"- mục {i} dài hơn một chút\n" for i in range(20))
+    assert all(x.startswith("- ") for x in (long_list[s:e] for s, e in p5_pieces.cut(long_list, 130, 20)))
+    heading = "# Đầu mục\n" + "một câu. " * 40
+    assert heading[slice(*p5_pieces.cut(heading, 130, 20)[0])].startswith("# Đầu mục\nmột câu.")
+
+
 def test_split_operator_edges(spark):
     table = rows(spark, [("1", "s", "a", "ngắn"), ("2", "s", "a", None), ("3", "s", "a", ""), ("4", "s", "a", "x" * 30_000), ("5", "s", "a", "y" * 384), ("6", "s", "a", "y" * 385)])
     got = p5_pieces.split_items(table, "data_id", "positive").collect()

@@ -1,14 +1,16 @@
 """Problem 5: items above a size limit are cut into pieces at natural boundaries, with overlap.
 
-Method: structure-tree packing. Sections, blocks, lines, sentences, clauses, words and grapheme clusters
-form a tree over the text; siblings are merged bottom-up to the limit and only oversized nodes are
-descended into.
+Method: structure-tree packing. A text is a tree: sections by the level of their headings, in these lists
+with nested items, tables of rows, code of lines and paragraphs; below lines, sentences, clauses, words and
+grapheme clusters. The pieces of oversized subtrees are made first, then siblings are merged bottom-up to the
+limit; only oversized nodes are descended into.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import regex
@@ -21,7 +23,6 @@ LIMIT = 384
 OVERLAP = 48
 
 _HEADING = re.compile(r"(?m)^(?:(#{1,6})\s+\S.*|(={2,6})[^=\n].*|\\((?:sub)*)section\*?\{.*|<h([1-6])\b.*)$", re.I)
-_BLOCK = re.compile(r"\n[^\S\n]*\n\s*")
 _LINE = re.compile(r"\n+|<br\s*/?>|</(?:li|tr|p|div)>\s*", re.I)
 _SENTENCE = re.compile(r"[.!?…]+[\"”’»)\]]*\s+|[。！？]+[”’」]*\s*")
 _CLAUSE = re.compile(r"[,;:–—]\s+|[，；：、]")
@@ -52,51 +53,132 @@ def _sections(text: str, start: int, end: int, depth: int) -> list[tuple[int, in
     return out
 
 
-LEVELS = [_BLOCK, _LINE, _SENTENCE, _CLAUSE, _BLANK, _CLUSTER]
+LEVELS = [_LINE, _SENTENCE, _CLAUSE, _BLANK, _CLUSTER]
+_FENCES = [(re.compile(r"\s*(?:```|~~~)"), re.compile(r"\s*(?:```|~~~)\s*$")), (re.compile(r"\s*<pre\b", re.I), re.compile(r".*</pre\s*>", re.I)), (re.compile(r"\s*\\begin\{(?:verbatim|lstlisting)\}"), re.compile(r".*\\end\{(?:verbatim|lstlisting)\}"))]
+_TABLES = [(re.compile(r"\s*\{\|"), re.compile(r"\s*\|\}")), (re.compile(r"\s*<table\b", re.I), re.compile(r".*</table\s*>", re.I))]
+_ITEM = re.compile(r"([^\S\n]*)(?:[-+*•#]+|\d{1,3}[.)]|<li\b[^>]*>|\\item\b)(?=\s|\S)(?:[^\S\n]+|(?<=>))", re.I)
+_ROW = re.compile(r"[^\S\n]*\|")
+
+
+@dataclass(frozen=True)
+class Node:
+    """A subtree: the span of its text, what it is, and the depth of its headings or its level below the line."""
+
+    start: int
+    end: int
+    kind: str
+    level: int = 0
+
+
+def _lines(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    out = []
+    while start < end:
+        at = text.find("\n", start, end)
+        at = end if at < 0 else at + 1
+        out.append((start, at))
+        start = at
+    return out
+
+
+def blocks(text: str, start: int, end: int) -> list[Node]:
+    """Code, tables, lists, headings and paragraphs of a stretch, each with the blank lines behind it.
+
+    What has no end of its own reaches to the end of the stretch.
+    """
+    out: list[list] = []
+    closing = None
+    for s, e in _lines(text, start, end):
+        line = text[s:e]
+        if closing is not None:
+            out[-1][1] = e
+            if closing.match(line) and s > out[-1][0]:
+                closing = None
+            continue
+        opened = next((("code", stop) for first, stop in _FENCES if first.match(line)), None) or next((("table", stop) for first, stop in _TABLES if first.match(line)), None)
+        if opened:
+            out.append([s, e, opened[0], "closed"])
+            inside = line.strip()
+            closing = None if opened[1].match(line) and len(inside) > 3 and not inside.startswith(("```", "~~~", "{|")) else opened[1]
+            continue
+        if not line.strip():
+            if out:
+                out[-1][1] = e
+                out[-1][3] = "closed" if out[-1][2] != "list" else out[-1][3]
+            else:
+                out.append([s, e, "paragraph", "closed"])
+            continue
+        kind = "heading" if _HEADING.match(line) else "list" if _ITEM.match(line) else "rows" if _ROW.match(line) else "paragraph"
+        last = out[-1] if out else None
+        if last and last[3] == "open" and (last[2] == kind or last[2] == "list" and line[:1].isspace()) and kind != "heading":
+            last[1] = e
+        elif last and last[3] == "open" and last[2] == "list" and kind == "paragraph" and text[last[1] - 2 : last[1]].strip():
+            last[1] = e  # the item goes on
+        else:
+            out.append([s, e, kind, "open"])
+    return [Node(s, e, "table" if kind == "rows" else kind) for s, e, kind, _ in out]
+
+
+def items(text: str, start: int, end: int) -> list[Node]:
+    """The items of a list; deeper indented lines belong to the item above."""
+    out: list[list[int]] = []
+    base = None
+    for s, e in _lines(text, start, end):
+        m = _ITEM.match(text[s:e])
+        base = len(m[1]) if m and base is None else base
+        if m and len(m[1]) <= base or not out:
+            out.append([s, e])
+        else:
+            out[-1][1] = e
+    return [Node(s, e, "item") for s, e in out]
+
+
+def children(text: str, node: Node) -> list[Node]:
+    """The subtrees of a node, which together are its text."""
+    s, e = node.start, node.end
+    if node.kind == "section":
+        return [Node(a, b, "body") if level == 9 else Node(a, b, "section", level) for a, b, level in _sections(text, s, e, node.level)]
+    if node.kind == "body":
+        return blocks(text, s, e)
+    if node.kind == "list" and len(found := items(text, s, e)) > 1:
+        return found
+    if node.kind in ("list", "item"):
+        first = _lines(text, s, e)[0][1]
+        nested = blocks(text, first, e) if first < e else []
+        if any(x.kind == "list" for x in nested):
+            return [Node(s, first, "run", 1), *nested]
+    if node.kind in ("table", "code", "list", "item", "heading", "paragraph"):
+        return [Node(a, b, "run", 1) for a, b in _cuts(_LINE, text, s, e)]
+    return [Node(a, b, "run", node.level + 1) for a, b in _cuts(LEVELS[node.level], text, s, e)]
 
 
 def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """Spans without overlap that cover the text; the first fits the limit, the others the limit less the overlap."""
     if limit <= overlap or overlap < 0:
         raise ValueError("the limit must be above the overlap")
-    spans: list[list[int]] = []
-
-    def room() -> int:
-        return limit if len(spans) <= 1 else limit - overlap
-
-    def put(start: int, end: int) -> None:
-        if spans and end - spans[-1][0] <= room():
-            spans[-1][1] = end
-        else:
-            spans.append([start, end])
-
-    def pack(start: int, end: int, level: int) -> None:
-        for s, e in _cuts(LEVELS[level], text, start, end):
-            if e - s <= limit - overlap or (not spans and e - s <= limit):
-                put(s, e)
-            elif level + 1 < len(LEVELS):
-                enter(s, e, lambda s=s, e=e: pack(s, e, level + 1))
-            else:  # one cluster above the limit
-                for at in range(s, e, limit - overlap):
-                    put(at, min(e, at + limit - overlap))
-
-    def enter(start: int, end: int, descend) -> None:
-        """An oversized node takes in the open piece only if that is short, such as a heading."""
-        if spans and spans[-1][1] == start and start - spans[-1][0] > room() // 2:
-            spans.append([start, start])
-        descend()
-
-    def sections(start: int, end: int, depth: int) -> None:
-        for s, e, level in _sections(text, start, end, depth):
-            if e - s <= limit - overlap or (not spans and e - s <= limit):
-                put(s, e)
-            elif level == 9:
-                enter(s, e, lambda s=s, e=e: pack(s, e, 0))
+    room = limit - overlap
+
+    def fits(start: int, end: int) -> bool:
+        return end - start <= (room if start else limit)
+
+    def pack(node: Node, lead: int) -> list[tuple[int, int]]:
+        """The pieces of a subtree; the first begins at `lead`, a short piece before it such as a heading."""
+        if fits(lead, node.end):
+            return [(lead, node.end)]
+        if node.level == len(LEVELS):  # one cluster above the limit
+            edges = [lead, *range(node.start + (0 if lead < node.start else room), node.end, room), node.end]
+            return list(zip(edges, edges[1:], strict=False))
+        out = [(lead, node.start)] if lead < node.start else []
+        for child in children(text, node):
+            if out and fits(out[-1][0], child.end):
+                out[-1] = (out[-1][0], child.end)
+            elif fits(child.start, child.end):
+                out.append((child.start, child.end))
             else:
-                enter(s, e, lambda s=s, e=e, level=level: sections(s, e, level))
+                short = out and out[-1][1] - out[-1][0] <= room // 2
+                out += pack(child, out.pop()[0] if short else child.start)
+        return out
 
-    sections(0, len(text), 0)
-    return [(s, e) for s, e in spans if e > s]
+    return [(s, e) for s, e in pack(Node(0, len(text), "section"), 0) if e > s]
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
