@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trisieve.operators.select import best_per_key
-from trisieve.runtime import bounded_join, materialize
+from trisieve.runtime import bounded_join, materialize, pair_join, spread
 
 
 def by_digest(df: DataFrame, digest: Column, order_by: list[Column]) -> DataFrame:
@@ -80,57 +85,128 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def char_grams(c: Column, low: int = 3, high: int = 5) -> Column:
-    """Character n-grams inside words that are padded by one blank on each side."""
+def _gram_counts(low: int, high: int):
+    """How often each character n-gram comes inside the words of a text, each padded by a blank on both sides."""
 
-    def of_word(w: Column) -> Column:
-        padded = F.concat(F.lit(" "), w, F.lit(" "))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, len(whole), 1000):
+                batch = whole.slice(start, 1000)
+                rows, grams, counts = [], [], []
+                for i, words in enumerate(batch.column(3).to_pylist()):
+                    tf = Counter(padded[k : k + n] for w in words for padded in (f" {w} ",) for n in range(low, high + 1) for k in range(len(padded) - n + 1))
+                    rows.append(np.full(len(tf), i))
+                    grams += tf.keys()
+                    counts += tf.values()
+                take = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(3)), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], names=["group", "id", "copies", "gram", "tf"])
 
-        def of_size(n: int) -> Column:
-            starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1)))
-            return F.when(F.length(padded) >= n, F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return run
 
-        return F.concat(*[of_size(n) for n in range(low, high + 1)])
 
-    words = F.filter(F.split(F.lower(c), r"(?U)\s+"), lambda w: w != "")
-    return F.flatten(F.transform(words, of_word))
+def char_grams(texts: DataFrame, low: int = 3, high: int = 5) -> DataFrame:
+    """(group, id, copies, gram, tf) of (group, id, copies, text); a text's counts are whole, without a shuffle."""
+    words = F.filter(F.split(F.lower("text"), r"(?U)\s+"), lambda w: w != "")
+    ids = texts.schema["id"].dataType.simpleString()
+    return spread(texts.select("group", "id", "copies", words.alias("words"))).mapInArrow(_gram_counts(low, high), f"`group` string, id {ids}, copies bigint, gram string, tf bigint")
 
 
-#: What the joined n-grams of a pair must add at least; more prunes better, but joins more frequent n-grams.
-REMAINDER = 0.08
+def _unit(least: float):
+    """Unit vectors by n-gram, and of each the n-grams from the rarest on until the others keep less than `least`."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            grams, weights, rare, upto = [], [], [], []
+            for g, w, df in zip(pdf.pop("gram"), pdf.pop("w"), pdf.pop("df"), strict=True):
+                g, w, df = np.asarray(g), np.asarray(w, dtype=np.float64), np.asarray(df)
+                w = w / np.sqrt((w * w).sum())
+                order = np.lexsort((g, -df))
+                kept = np.sqrt(np.cumsum(w[order] ** 2))
+                rare.append(g[order][kept >= least])
+                upto.append(kept[kept >= least])
+                by_gram = np.argsort(g)
+                grams.append(g[by_gram])
+                weights.append(w[by_gram])
+            yield pdf.assign(grams=grams, w=weights, rare=rare, upto=upto)
 
-def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95, min_df: int = 2, max_features: int = 100_000) -> DataFrame:
-    """(a, b, similarity), a < b: pairs with a TF-IDF cosine of character n-grams of at least the threshold.
+    return run
 
-    Smooth idf, unit length, the most frequent `max_features` n-grams of those in `min_df` texts. Only
-    the rarest n-grams of a text enter the join, as many as leave less than the length `rest` to the
-    others. All n-grams a pair shares outside the join are left out by one of the two texts, the one that
-    leaves out more; by the Cauchy-Schwarz inequality they add at most the length of what it leaves out. A
-    pair whose joined n-grams fall short of the remainder cannot reach the threshold, so none is lost.
+
+def equal_texts(df: DataFrame, id_col: str, text_col: str, group_col: str | None = None) -> DataFrame:
+    """(group, id, text, rep): each text with the smallest id of the same text in its group.
+
+    Null ids and texts take no part; a null group is a group of its own. The text meets its representative
+    by a digest, so a text that a third of all rows hold is aggregated before it is shuffled.
+    """
+    group = F.lit("") if group_col is None else F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
+    rows = df.select(group.alias("group"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
+    rows = materialize(rows.withColumn("same", F.unhex(F.sha2("text", 256))), "texts")
+    reps = materialize(rows.groupBy("group", "same").agg(F.min("id").alias("rep")), "reps")
+    return bounded_join(rows, reps, ["group", "same"], by=["id"], how="inner").select("group", "id", "text", "rep")
+
+
+def _cosines(threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sums = []
+            for ga, wa, gb, wb in zip(pdf["grams_a"], pdf["w_a"], pdf["grams_b"], pdf["w_b"], strict=True):
+                _, i, j = np.intersect1d(ga, gb, assume_unique=True, return_indices=True)
+                sums.append(float(np.dot(np.asarray(wa)[i], np.asarray(wb)[j])))
+            out = pdf[["group", "a", "b"]].assign(similarity=sums)
+            yield out[out["similarity"] >= threshold]
+
+    return run
+
+
+def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95, group_col: str | None = None, min_df: int = 2, max_features: int = 100_000, neighbours: int | None = None) -> DataFrame:
+    """(group, a, b, similarity), a < b: different texts of a group with a TF-IDF cosine of at least the threshold.
+
+    a and b are the smallest ids of their texts (see equal_texts); copies of a text are not spelled out, but
+    count in the weights. Character n-grams, smooth idf, unit length; of the n-grams in `min_df` texts of the
+    group the most frequent `max_features`. That cap and `neighbours` (only each text's k nearest, ties to the
+    smaller id) belong to the result, as the reference has them; without `neighbours` no link is lost.
+
+    The join takes the n-grams of a text from the rarest on. Of the rarest n-gram that a pair shares, neither
+    text shares any rarer one, so by the Cauchy-Schwarz inequality the cosine is at most the product of the
+    lengths that both keep from there on. A pair is a candidate if one shared n-gram has a product of at least
+    the threshold, so none is lost. N-grams of very many texts are joined in slices; the exact cosine decides.
+    """
+    texts = materialize(equal_texts(df, id_col, text_col, group_col), "equal")
+    ids = texts.schema["id"].dataType.simpleString()
+    totals = materialize(texts.groupBy("group").agg(F.count(F.lit(1)).alias("total")), "totals")
+    reps = texts.groupBy("group", "rep").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
+    grams = materialize(char_grams(reps.withColumnRenamed("rep", "id")), "grams")
+    table = grams.groupBy("group", "gram").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("all")).filter(F.col("df") >= min_df)
+    table = table.withColumn("_at", F.row_number().over(Window.partitionBy("group").orderBy(F.desc("all"), "gram"))).filter(F.col("_at") <= max_features)
+    idf = F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1
+    table = materialize(table.join(totals, "group").select("group", "gram", "df", idf.alias("idf")), "idf")
+    weighted = bounded_join(grams, table, ["group", "gram"], by=["id"], how="inner").select("group", "id", F.xxhash64("gram").alias("gram"), "df", (F.col("tf") * F.col("idf")).alias("w"))
+    least = threshold - 1e-9
+    lists = weighted.groupBy("group", "id").agg(F.collect_list(F.struct("gram", "w", "df")).alias("v")).select("group", "id", "v.gram", "v.w", "v.df")
+    packed = materialize(lists.mapInPandas(_unit(least), f"`group` string, id {ids}, grams array<bigint>, w array<double>, rare array<bigint>, upto array<double>"), "packed")
+    prefix = materialize(packed.select("group", "id", F.explode(F.arrays_zip("rare", "upto")).alias("x")).select("group", "id", F.col("x.rare").alias("gram"), "x.upto"), "prefix")
+    sizes = prefix.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    side = lambda x: prefix.select("group", "gram", F.col("id").alias(x), F.col("upto").alias(f"upto_{x}"))
+    joined = pair_join(side("a"), side("b"), ["group", "gram"], sizes, "rows", by=["a"]).filter((F.col("a") < F.col("b")) & (F.col("upto_a") * F.col("upto_b") >= least))
+    pairs = joined.select("group", "a", "b").distinct()
+    half = lambda x: packed.select("group", F.col("id").alias(x), F.col("grams").alias(f"grams_{x}"), F.col("w").alias(f"w_{x}"))
+    sums = pairs.join(half("a"), ["group", "a"]).join(half("b"), ["group", "b"]).select("group", "a", "b", "grams_a", "w_a", "grams_b", "w_b")
+    found = sums.mapInPandas(_cosines(threshold), f"`group` string, a {ids}, b {ids}, similarity double")
+    if neighbours is None:
+        return found
+    found = materialize(found, "links")
+    both = found.unionByName(found.select("group", F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
+    near = both.withColumn("_at", F.row_number().over(Window.partitionBy("group", "a").orderBy(F.desc("similarity"), "b"))).filter(F.col("_at") <= neighbours)
+    return near.select("group", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").dropDuplicates(["group", "a", "b"])
+
+
+def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95, group_col: str | None = None, neighbours: int | None = None) -> DataFrame:
+    """Adds `component` (smallest id of the near-duplicate group, the own id without one) and `keep`.
+
+    Equal texts of a group are one near-duplicate group; rows without a text are none.
     """
-    rest = max(0.0, threshold - REMAINDER)
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
-    total = texts.count()
-    grams = materialize(texts.select("id", F.explode(char_grams(F.col("text"))).alias("gram")).groupBy("id", "gram").agg(F.count(F.lit(1)).alias("tf")), "grams")
-    table = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("all")).filter(F.col("df") >= min_df).orderBy(F.desc("all"), "gram").limit(max_features)
-    table = materialize(table.select("gram", "df", (F.log((1 + F.lit(total)) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
-    weighted = bounded_join(grams, table, ["gram"], by=["id"], how="inner").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
-    common_first = Window.partitionBy("id").orderBy(F.desc("df"), "gram").rowsBetween(Window.unboundedPreceding, 0)
-    unit = weighted.withColumn("w", F.col("w") / norm)
-    vectors = materialize(unit.withColumn("upto", F.sqrt(F.sum(F.col("w") * F.col("w")).over(common_first))).select("id", "gram", "w", "upto"), "vectors")
-    left_out = F.coalesce(F.max(F.when(F.col("upto") < rest, F.col("upto"))).over(Window.partitionBy("id")), F.lit(0.0))
-    prefix = vectors.withColumn("out", left_out).filter(F.col("upto") >= rest).select("id", "gram", "w", "out")
-    side = lambda x: prefix.select(F.col("id").alias(x), "gram", F.col("w").alias(f"w_{x}"), F.col("out").alias(f"out_{x}"))
-    joined = side("a").join(side("b"), "gram").filter("a < b").groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("part"), F.first("out_a").alias("out_a"), F.first("out_b").alias("out_b"))
-    pairs = materialize(joined.filter(F.col("part") + F.greatest("out_a", "out_b") >= threshold - 1e-9).select("a", "b"), "pairs")
-    left, right = (vectors.select(F.col("id").alias(x), "gram", F.col("w").alias(f"w_{x}")) for x in "ab")
-    sums = pairs.join(left, "a").join(right, ["b", "gram"]).groupBy("a", "b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("similarity"))
-    return sums.filter(F.col("similarity") >= threshold)
-
-
-def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95) -> DataFrame:
-    """Adds `component` (smallest id of the near-duplicate group, the own id without one) and `keep`."""
-    groups = components(similar_texts(df, id_col, text_col, threshold)).withColumnRenamed("node", id_col)
-    return df.join(groups, id_col, "left").withColumn("component", F.coalesce("component", F.col(id_col))).withColumn("keep", F.col("component") == F.col(id_col))
+    links = similar_texts(df, id_col, text_col, threshold, group_col, neighbours=neighbours).select("a", "b")
+    groups = materialize(components(links).select(F.col("node").alias("rep"), F.col("component").alias("_component")), "groups")
+    members = equal_texts(df, id_col, text_col, group_col).select(F.col("id").alias(id_col), "rep")
+    found = bounded_join(members, groups, ["rep"], by=[id_col]).select(id_col, F.coalesce("_component", "rep").alias("component"))
+    return df.join(found, id_col, "left").withColumn("component", F.coalesce("component", F.col(id_col))).withColumn("keep", F.col("component") == F.col(id_col))

@@ -488,14 +488,34 @@ def _(s, d):
     return dedup.greedy_keep(read(s, d, "triplet"), "data_id", {"anchor": t.text_key(c("anchor")), "positive": t.text_key(c("positive")), "negative": t.text_key(c("hard_negative"))}, ["source"]).select("data_id", "keep")
 
 
-@query("near_dup_pairs")
+S_SIMILAR = """
+    WITH RECURSIVE r AS (SELECT coalesce('=' || domain, '') AS g, data_id, anchor, min(data_id) OVER (PARTITION BY domain, anchor) AS rep FROM triplet),
+    n AS (SELECT g, count(*) AS total FROM r GROUP BY g), c AS (SELECT g, rep AS id, anchor, count(*) AS copies FROM r GROUP BY ALL),
+    w AS (SELECT g, id, copies, unnest(list_transform(list_filter(regexp_split_to_array(lower(anchor), '[\\t-\\r \\x{85}\\p{Z}\\x{1c}-\\x{1f}]+'), lambda x: x <> ''), lambda x: ' ' || x || ' ')) AS word FROM c),
+    gr AS (SELECT g, id, copies, substr(word, i, k) AS gram, count(*) AS tf FROM w, range(3, 6) s(k), range(1, 60) p(i) WHERE i + k - 1 <= length(word) GROUP BY ALL),
+    t AS (SELECT g, gram, ln((1 + any_value(total)) / (1.0 + sum(copies))) + 1 AS idf FROM gr JOIN n USING (g) GROUP BY g, gram HAVING sum(copies) >= 2),
+    v AS (SELECT g, id, gram, tf * idf AS w FROM gr JOIN t USING (g, gram)), l AS (SELECT g, id, sqrt(sum(w * w)) AS len FROM v GROUP BY g, id),
+    u AS (SELECT g, id, gram, w / len AS w FROM v JOIN l USING (g, id)),
+    x AS (SELECT a.id AS a, b.id AS b, sum(a.w * b.w) AS similarity FROM u a JOIN u b ON a.g = b.g AND a.gram = b.gram AND a.id < b.id GROUP BY ALL HAVING sum(a.w * b.w) >= 0.95)"""
+
+
+@query("near_dup_pairs", S_SIMILAR + " SELECT a, b, round(similarity, 4) AS similarity FROM x")
+def _(s, d):
+    return dedup.similar_texts(read(s, d, "triplet"), "data_id", "anchor", group_col="domain").select("a", "b", F.round("similarity", 4).alias("similarity"))
+
+
+@query("near_dup_neighbours", S_SIMILAR + """,
+    y AS (SELECT a, b, similarity FROM x UNION ALL SELECT b, a, similarity FROM x), k AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) <= 10)
+    SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM k""")
 def _(s, d):
-    return dedup.similar_texts(read(s, d, "triplet"), "data_id", "anchor").select("a", "b", F.round("similarity", 4).alias("similarity"))
+    return dedup.similar_texts(read(s, d, "triplet"), "data_id", "anchor", group_col="domain", neighbours=10).select("a", "b")
 
 
-@query("near_dup_components")
+@query("near_dup_components", S_SIMILAR + """,
+    e AS (SELECT a, b FROM x UNION SELECT b, a FROM x UNION SELECT rep, rep FROM r), h(n, m) AS (SELECT a, b FROM e UNION SELECT h.n, e.b FROM h JOIN e ON h.m = e.a), o AS (SELECT n, min(m) AS component FROM h GROUP BY n)
+    SELECT data_id, component, component = data_id AS keep FROM r JOIN o ON r.rep = o.n""")
 def _(s, d):
-    return dedup.near_duplicates(read(s, d, "triplet"), "data_id", "anchor").select("data_id", "component", "keep")
+    return dedup.near_duplicates(read(s, d, "triplet"), "data_id", "anchor", group_col="domain").select("data_id", "component", "keep")
 
 
 @query("components", "SELECT 'o' || o_orderkey AS node, 'c' || o_custkey AS component FROM orders UNION SELECT 'c' || o_custkey, 'c' || o_custkey FROM orders")
