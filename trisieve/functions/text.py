@@ -141,8 +141,12 @@ ARTIFACT = r"\x{FFFD}|\[\[|\]\]|\{\{|\}\}|(?i:formula_\d+)|[\x00-\x08\x0b\x0c\x0
 
 
 def drop_artifacts(c: Column) -> Column:
-    """Broken wiki markers, formula numbers, lost and control characters as blanks; other text unchanged."""
-    return F.when(c.rlike(ARTIFACT), collapse(F.regexp_replace(c, ARTIFACT, " "))).otherwise(c)
+    """Broken wiki markers, formula numbers, lost and control characters as blanks, then NFC; other text unchanged.
+
+    Raises where nothing is left.
+    """
+    clean = nfc_collapsed(F.when(c.rlike(ARTIFACT), F.regexp_replace(c, ARTIFACT, " ")))
+    return F.when(~c.rlike(ARTIFACT) | c.isNull(), c).when(clean == "", F.raise_error(F.lit("only artifacts in a field"))).otherwise(clean)
 
 
 # --- wiki text --------------------------------------------------------------------------------

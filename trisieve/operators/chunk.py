@@ -30,10 +30,14 @@ def stride_windows(c: Column, size: int = 1200, overlap: int = 150) -> Column:
 
 
 def answer_windows(context: Column, starts: Column, answers: Column, size: int = 1200, before: int = 150) -> Column:
-    """Distinct array<struct<start,text>> of windows around each answer, in order of first appearance."""
+    """Distinct array<struct<start,text>> of windows around each answer, in order of first appearance.
+
+    Raises on an answer longer than a window.
+    """
     room = F.greatest(F.length(context) - size, F.lit(0))
     spans = F.transform(F.arrays_zip(starts.alias("at"), answers.alias("answer")), lambda x: F.least(F.greatest(x["at"] - before, F.lit(0)), room))
-    return F.transform(F.array_distinct(spans), lambda s: F.struct(s.cast("int").alias("start"), F.substring(context, s + 1, F.lit(size)).alias("text")))
+    windows = F.transform(F.array_distinct(spans), lambda s: F.struct(s.cast("int").alias("start"), F.substring(context, s + 1, F.lit(size)).alias("text")))
+    return F.when(F.exists(answers, lambda a: F.length(a) > size), F.raise_error(F.lit(f"an answer is longer than {size}"))).otherwise(windows)
 
 
 CHUNKS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("text", T.StringType())]))

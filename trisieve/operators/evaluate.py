@@ -178,6 +178,11 @@ def per_query_rank(ranks: DataFrame, k: int = 10) -> DataFrame:
     return ranks.withColumn(f"reciprocal_rank_at_{k}", F.when(F.col("rank") <= k, 1.0 / F.col("rank")).otherwise(F.lit(0.0)))
 
 
+def mean_score(scores: DataFrame, score: str) -> DataFrame:
+    """(mean_score, tasks): the plain mean of one score a task; null scores count as none."""
+    return scores.agg(F.avg(score).alias("mean_score"), F.count(score).alias("tasks"))
+
+
 def training_steps(counts: DataFrame, n: str, batch: int, world: int = 1, drop_last: bool = False) -> DataFrame:
     """(steps): the batches of all tables together; each table's last part counts, or not."""
     each = F.floor(F.col(n) / (batch * world)) if drop_last else F.ceil(F.col(n) / (batch * world))

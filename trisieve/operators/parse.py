@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trisieve.functions.keys import digest
+from trisieve.functions.similarity import canonical_name
 from trisieve.functions.text import collapse_or_empty, is_blank, text_udf
 from trisieve.operators.select import best_per_key
 
@@ -224,6 +225,47 @@ def _close(text: str, at: int) -> int:
     return 0
 
 
+def generated_documents(df: DataFrame, text: str, fields: list[str], expected: int, sources: list[str]) -> DataFrame:
+    """The valid ones of the first `expected` objects of a model's answer, with the canonical source.
+
+    An object is valid if all `fields` are non-blank texts; these are stripped. Answers without a valid
+    object give no row.
+    """
+    rest = [c for c in df.columns if c != text]
+
+    @F.pandas_udf(f"array<struct<{', '.join(f'`{c}`:string' for c in fields)}>>")
+    def run(column: pd.Series) -> pd.Series:
+        valid = lambda d: all(isinstance(d.get(c), str) and d[c].strip() for c in fields)
+        return column.map(lambda x: [{c: d[c].strip() for c in fields} for d in complete_objects(x)[:expected] if valid(d)], na_action="ignore")
+
+    rows = df.select(*rest, F.explode(run(without_fence(F.col(text)))).alias("_x")).select(*rest, "_x.*")
+    return canonical_name(rows, "source", sources, "_canonical", keep_unknown=True).withColumn("source", F.col("_canonical")).drop("_canonical")
+
+
+def stored_documents(df: DataFrame, text: str, fields: list[str], legacy: str = "answer") -> DataFrame:
+    """Adds `error` to stored records, one JSON text each: null if valid.
+
+    'incompatible': no object with exactly the fields, or these and the legacy field; 'invalid': a field is
+    no text or blank. A null text is incompatible.
+    """
+    wanted = (set(fields), {*fields, legacy})
+
+    def check(x: str | None) -> str | None:
+        try:
+            d = json.loads(x) if x is not None else None
+        except ValueError:
+            d = None
+        if not isinstance(d, dict) or set(d) not in wanted:
+            return "incompatible"
+        return None if all(isinstance(v, str) and v.strip() for v in d.values()) else "invalid"
+
+    @F.pandas_udf("string")
+    def run(column: pd.Series) -> pd.Series:
+        return pd.Series([check(x) for x in column], dtype=object)
+
+    return df.withColumn("error", run(F.col(text)))
+
+
 def salvaged(df: DataFrame, text: str, fields: list[str], limit: str | None = None) -> DataFrame:
     """One row for each complete object with all `fields` filled; stripped; at most `limit` of a text."""
     rest = [c for c in df.columns if c != text]

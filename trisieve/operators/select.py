@@ -113,6 +113,23 @@ def quota_select(df: DataFrame, quota: DataFrame, key: str, order_by: list[Colum
     return top_per_key(joined, [key], order_by, most).filter(F.col("rank") <= F.col("quota")).drop("quota")
 
 
+def exact_quotas(df: DataFrame, quota: DataFrame, key: str, order_by: list[Column], unique: list[list[str]]) -> DataFrame:
+    """Exactly `quota` rows of each key, in the given order.
+
+    Raises if a key has fewer rows, or if rows of the selection agree in one of the column groups `unique`
+    (compared without case).
+    """
+    rows = materialize(quota_select(df, quota, key, order_by), "quotas")
+    got = quota.select(key, "quota").join(rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "left").filter(F.coalesce("_n", F.lit(0)) != F.col("quota")).orderBy(key).first()
+    if got is not None:
+        raise ValueError(f"{got[key]}: selected {got['_n'] or 0} rows where {got['quota']} are needed")
+    for columns in unique:
+        folded = [F.replace(F.lower(F.col(x).cast("string")), F.lit("ß"), F.lit("ss")).alias(f"_{i}") for i, x in enumerate(columns)]
+        if not rows.groupBy(*folded).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
+            raise ValueError(f"the selection repeats {', '.join(columns)}")
+    return rows
+
+
 def two_tier(df: DataFrame, source: str, preferred: str, other: str, order_by: list[Column], n: int) -> DataFrame:
     """Up to n rows of the preferred source, filled up to n with rows of the other."""
     first = df.filter(F.col(source) == preferred).orderBy(*order_by).limit(n)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trisieve.functions import encoding
 from trisieve.functions import keys as k
 from trisieve.functions import similarity as sim
 from trisieve.functions import text as t
@@ -272,7 +273,7 @@ def _(s, d):
 S_ARTIFACT = r"\x{FFFD}|\[\[|\]\]|\{\{|\}\}|(?i:formula_\d+)|[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
 
-@query("artifact_clean", f"SELECT data_id, md5(CASE WHEN regexp_matches(positive, '{S_ARTIFACT}') THEN {s_collapse(f"regexp_replace(positive, '{S_ARTIFACT}', ' ', 'g')")} ELSE positive END) AS positive FROM general")
+@query("artifact_clean", f"SELECT data_id, md5(CASE WHEN regexp_matches(positive, '{S_ARTIFACT}') THEN {s_collapse(f"nfc_normalize(regexp_replace(positive, '{S_ARTIFACT}', ' ', 'g'))")} ELSE positive END) AS positive FROM general")
 def _(s, d):
     return read(s, d, "general").select("data_id", F.md5(t.drop_artifacts(c("positive"))).alias("positive"))
 
@@ -440,6 +441,15 @@ def _(s, d):
     return select.quota_select(rows, quota, "source", [F.md5("data_id")]).select("data_id", "source")
 
 
+@query("exact_quotas", """
+    WITH p AS (SELECT * FROM triplet QUALIFY row_number() OVER (PARTITION BY anchor, positive ORDER BY md5(data_id)) = 1), q(source, quota) AS (VALUES ('Truy vấn dịch', 10), ('Bách khoa Sen', 5), ('Hỏi đáp luật', 5))
+    SELECT data_id, source FROM p JOIN q USING (source) QUALIFY row_number() OVER (PARTITION BY source ORDER BY md5(data_id)) <= any_value(quota) OVER (PARTITION BY source)""")
+def _(s, d):
+    rows = select.best_per_key(read(s, d, "triplet"), ["anchor", "positive"], [F.md5("data_id")])
+    quota = s.createDataFrame([("Truy vấn dịch", 10), ("Bách khoa Sen", 5), ("Hỏi đáp luật", 5)], "source string, quota int")
+    return select.exact_quotas(rows, quota, "source", [F.md5("data_id")], [["data_id"], ["anchor", "positive"]]).select("data_id", "source")
+
+
 @query("first_rows_per_source", f"SELECT data_id, source FROM general WHERE {S_MASK} AND source IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY data_id) <= 30")
 def _(s, d):
     rows = read(s, d, "general").filter(quality.quality_mask(c("anchor"), c("positive"), c("hard_negative")) & c("source").isNotNull())
@@ -598,7 +608,7 @@ def _(s, d):
     return chunk.best_chunks(read(s, d, "general"), "data_id", chunk.stride_windows(c("positive"), 200, 50), wanted, c("title")).select("data_id", "start")
 
 
-@query("title_children", "WITH g AS (SELECT title, list(data_id ORDER BY data_id) AS ids FROM general WHERE source = 'Open Notes EN' GROUP BY title) SELECT title, i AS k, ids[i + 1] AS data_id FROM g, range(1000) r(i) WHERE i < len(ids)")
+@query("title_children", "SELECT title, row_number() OVER (PARTITION BY title ORDER BY data_id) - 1 AS k, data_id FROM general")
 def _(s, d):
     rows = read(s, d, "general").select("title", "data_id").filter("data_id IS NOT NULL")
     return select.numbered(rows, "title", ["data_id"], "k").select("title", "k", "data_id")
@@ -674,6 +684,15 @@ def _(s, d):
     return lexical.lexical_negatives(_titled(s, d), "doc_id", "title", "text", "passage").select("id", "negative_id")
 
 
+@query("encoded_texts", """
+    WITH t AS (SELECT data_id, 'passage: ' || positive AS x FROM general WHERE positive IS NOT NULL), v AS (SELECT data_id, length(x)::DOUBLE AS a, (length(x) - length(replace(x, ' ', '')))::DOUBLE AS b FROM t)
+    SELECT data_id, round(a / sqrt(a * a + b * b), 4) AS first, round(b / sqrt(a * a + b * b), 4) AS second FROM v""")
+def _(s, d):
+    shape = lambda texts: [[len(x), x.count(" ")] for x in texts]  # noqa: E731 - stands in for a model
+    out = encoding.encode(read(s, d, "general").select("data_id", "positive"), "positive", "passage", shape)
+    return out.filter("vec IS NOT NULL").select("data_id", F.round(c("vec")[0].cast("double"), 4).alias("first"), F.round(c("vec")[1].cast("double"), 4).alias("second"))
+
+
 # --- vectors ----------------------------------------------------------------------------------
 
 S_DOT = "list_dot_product(q.v, x.v) / sqrt(list_dot_product(q.v, q.v)) / sqrt(list_dot_product(x.v, x.v))"
@@ -716,9 +735,9 @@ def _(s, d):
 
 
 S_RANKS = """
-    WITH x AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings), q AS (SELECT * FROM x WHERE id % 100 = 0), k AS (SELECT * FROM x WHERE id % 2 = 1),
-    g AS (SELECT q.id AS query_id, min(k.id) AS id FROM q JOIN k USING (label) GROUP BY q.id),
-    z AS (SELECT q.id AS query_id, k.id, round(list_dot_product(q.v, k.v) / sqrt(list_dot_product(q.v, q.v)) / sqrt(list_dot_product(k.v, k.v)), 10) AS score FROM q, k),
+    WITH x AS (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings), q AS (SELECT * FROM x WHERE id % 100 = 0),
+    g AS (SELECT q.id AS query_id, min(k.id) AS id FROM q JOIN x k ON q.label = k.label AND q.id <> k.id GROUP BY q.id),
+    z AS (SELECT q.id AS query_id, k.id, round(list_dot_product(q.v, k.v) / sqrt(list_dot_product(q.v, q.v)) / sqrt(list_dot_product(k.v, k.v)), 10) AS score FROM q JOIN x k ON q.id <> k.id),
     o AS (SELECT query_id, score AS s FROM z JOIN g USING (query_id, id)),
     r AS (SELECT o.query_id, 1 + count(*) FILTER (z.score > o.s) AS rank FROM o JOIN z USING (query_id) GROUP BY ALL)"""
 
@@ -787,6 +806,12 @@ def _(s, d):
     return evaluate.training_steps(read(s, d, "triplet").groupBy("source").agg(F.count(F.lit(1)).alias("n")), "n", 32)
 
 
+@query("mean_task_score", "SELECT round(avg(score), 6) AS mean_score, count(*) AS tasks FROM (SELECT source, avg(quality_score) AS score FROM rag_qa_hybrid_train GROUP BY source)")
+def _(s, d):
+    scores = read(s, d, "rag_qa_hybrid_train").groupBy("source").agg(F.avg("quality_score").alias("score"))
+    return evaluate.mean_score(scores, "score").withColumn("mean_score", F.round("mean_score", 6))
+
+
 @query("manifest", "SELECT split, source, count(*) AS rows, count(*) FILTER (quality_score >= 85) AS overlapping, round(count(*) FILTER (quality_score >= 85)::DOUBLE / count(*), 6) AS rate FROM rag_qa_hybrid_train GROUP BY split, source")
 def _(s, d):
     return evaluate.manifest(read(s, d, "rag_qa_hybrid_train"), ["split", "source"], c("quality_score") >= 85)
@@ -842,6 +867,30 @@ def _(s, d):
     return parse.salvaged(rows, "content", ["question", "answer"]).select("id", "question")
 
 
+_STORED = ("source", "title", "topic", "anchor", "positive", "hard_negative")
+
+
+def _stored_lines(s, d):
+    rows = read(s, d, "triplet").select("data_id", *_STORED, F.pmod(F.length("anchor"), F.lit(4)).alias("kind"))
+    full = F.struct(*_STORED)
+    line = F.when(c("kind") == 0, F.to_json(full, {"ignoreNullFields": "false"})).when(c("kind") == 1, F.to_json(F.struct(*_STORED, F.lit("cũ").alias("answer")), {"ignoreNullFields": "false"})).when(c("kind") == 2, F.to_json(F.struct(*_STORED[:5]), {"ignoreNullFields": "false"})).otherwise(F.lit("[1]"))
+    return rows.select("data_id", line.alias("line"))
+
+
+@query("stored_documents", """
+    SELECT data_id, CASE WHEN length(anchor) % 4 > 1 THEN 'incompatible' WHEN list_contains(list_transform([source, title, topic, anchor, positive, hard_negative], lambda x: coalesce(trim(x), '') = ''), true) THEN 'invalid' END AS error FROM triplet""")
+def _(s, d):
+    return parse.stored_documents(_stored_lines(s, d), "line", list(_STORED)).select("data_id", "error")
+
+
+@query("generated_documents", f"""
+    SELECT id, {S_STRIP('question')} AS anchor, CASE WHEN contains(lower({S_STRIP('source')}), 'cổng') THEN 'Cổng' ELSE {S_STRIP('source')} END AS source FROM faq_rows WHERE {S_Q} <> '' AND {S_STRIP('source')} <> ''""")
+def _(s, d):
+    one = F.to_json(F.struct(c("question").alias("anchor"), "source"), {"ignoreNullFields": "false"})
+    rows = read(s, d, "faq_rows").select("id", F.concat(F.lit("["), one, F.lit(', {"anchor": "thừa", "source": "x"}]')).alias("content"))
+    return parse.generated_documents(rows, "content", ["anchor", "source"], 1, ["Cổng"]).select("id", "anchor", "source")
+
+
 @query("postback_links", "SELECT doc_id, 'list$' || source AS target, (doc_id % 7)::VARCHAR AS argument FROM documents WHERE doc_id % 2 = 0")
 def _(s, d):
     href = F.when(c("doc_id") % 2 == 0, F.concat(F.lit("javascript:__doPostBack('list$"), "source", F.lit("', '"), (c("doc_id") % 7).cast("string"), F.lit("')"))).otherwise(F.concat(F.lit("/p?Page="), c("doc_id").cast("string")))

@@ -9,9 +9,11 @@ import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from trisieve.operators.select import best_per_key
+
 
 def _fs(df: DataFrame, path: str):
     jvm = df.sparkSession.sparkContext._jvm
@@ -51,10 +53,13 @@ def publish(df: DataFrame, path: str, validate: Callable[[DataFrame], object] |
     return backup
 
 
-def append_new(df: DataFrame, path: str, key: str) -> int:
-    """Appends the rows whose key is not in the target yet (the first of each key); returns their number."""
+def append_new(df: DataFrame, path: str, key: str, order_by: list[Column] | None = None) -> int:
+    """Appends the rows whose key is not in the target yet; returns their number.
+
+    Of rows with one key the first in `order_by` counts, by default in the order of all columns.
+    """
     fs, where = _fs(df, path)
-    fresh = df.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    fresh = best_per_key(df.filter(F.col(key).isNotNull()), [key], order_by or [F.col(c) for c in df.columns if c != key] or [F.lit(0)])
     if fs.exists(where(path)):
         fresh = fresh.join(df.sparkSession.read.parquet(path).select(key), key, "left_anti")
     watch = Observation("append")
