@@ -257,3 +257,51 @@ def test_lexical_negatives(spark):
     assert len(got) == 61 and all(r.negative_id is not None and by_title[r.negative_id] != by_title[r.id] for r in got)
     alone = lexical.lexical_negatives(df.limit(1), "id", "title", "text", "passage").collect()
     assert len(alone) == 1 and alone[0].negative_id is None
+
+
+def test_exact_quotas(spark):
+    df = spark.createDataFrame([("1", "a", "x"), ("2", "a", "y"), ("3", "b", "X"), ("4", "b", "z")], "id string, source string, anchor string")
+    quota = lambda *rows: spark.createDataFrame(list(rows), "source string, quota int")
+    assert {r.id for r in select.exact_quotas(df, quota(("a", 1), ("b", 0)), "source", [F.col("id")], [["id"], ["anchor"]]).collect()} == {"1"}
+    with pytest.raises(ValueError, match="selected 2 rows where 3"):
+        select.exact_quotas(df, quota(("a", 3)), "source", [F.col("id")], [])
+    with pytest.raises(ValueError, match="selected 0 rows"):
+        select.exact_quotas(df, quota(("c", 1)), "source", [F.col("id")], [])
+    with pytest.raises(ValueError, match="repeats anchor"):
+        select.exact_quotas(df, quota(("a", 1), ("b", 1)), "source", [F.col("id")], [["anchor"]])
+
+
+def test_errors_as_the_reference_has_them(spark):
+    from trisieve.functions import text as t
+
+    with pytest.raises(Exception, match="only artifacts"):
+        texts(spark, ["[[ ]]"]).select(t.drop_artifacts(F.col("text"))).collect()
+    assert [r[0] for r in texts(spark, ["e\u0301 [[", "", None]).orderBy("id").select(t.drop_artifacts(F.col("text"))).collect()] == ["\u00e9", "", None]
+    with pytest.raises(Exception, match="answer is longer"):
+        texts(spark, ["abc"]).select(chunk.answer_windows(F.col("text"), F.array(F.lit(0)), F.array(F.lit("x" * 9)), 8)).collect()
+
+
+def test_encoder_interface_and_mean_score(spark):
+    from trisieve.functions import encoding
+
+    seen = lambda batch: [[float(len(x)), 0.0] if x.startswith("query: ") else [0.0, 0.0] for x in batch]
+    df = texts(spark, ["ab", None, ""])
+    assert [r.vec for r in encoding.encode(df, "text", "query", seen, batch=1).orderBy("id").collect()] == [[1.0, 0.0], None, [1.0, 0.0]]
+    assert encoding.encode(df.limit(0), "text", "passage", seen).count() == 0
+    with pytest.raises(ValueError):
+        encoding.encode(df, "text", "other", seen)
+    scores = spark.createDataFrame([(0.5,), (1.0,), (None,)], "score double")
+    assert tuple(evaluate.mean_score(scores, "score").first()) == (0.75, 2)
+
+
+def test_near_duplicates_by_domain_and_neighbours(spark):
+    base = "một câu hỏi khá dài về con sông lớn chảy qua vùng đồng bằng rộng"
+    rows = [(f"{i:02}", "d" if i < 12 else None, base + " " * (i % 2) + (" x" if i == 3 else "")) for i in range(16)] + [("90", "d", None), ("91", "d", ""), ("92", "d", "khác hẳn")]
+    df = spark.createDataFrame(rows, "id string, domain string, text string")
+    found = dedup.similar_texts(df, "id", "text", 0.9, group_col="domain").collect()
+    assert {(r.a, r.b) for r in found} == {("00", "01"), ("00", "03"), ("01", "03"), ("12", "13")}
+    few = dedup.similar_texts(df, "id", "text", 0.9, group_col="domain", neighbours=1).collect()
+    assert {(r.a, r.b) for r in few} <= {(r.a, r.b) for r in found} and ("12", "13") in {(r.a, r.b) for r in few}
+    kept = dedup.near_duplicates(df, "id", "text", 0.9, group_col="domain").filter("keep").collect()
+    assert sorted(r.id for r in kept) == ["00", "12", "90", "91", "92"]
+    assert dedup.near_duplicates(df.limit(0), "id", "text").count() == 0

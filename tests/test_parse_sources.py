@@ -136,3 +136,19 @@ def test_pipelines(spark):
     assert all(r.hard_negative.split("_")[0] != r.positive.split("_")[0] for r in out)
     exported = pipelines.clean_export(df.select("data_id", "source", "anchor", "positive", "hard_negative"), ["source", "data_id"]).collect()
     assert len(exported) == 3
+
+
+def test_generated_and_stored_documents(spark):
+    rows = [("1", '[{"a": " x ", "source": "cổng 1"}, {"a": "", "source": "s"}, {"a": "y", "source": "s"}]'), ("2", None), ("3", "kein JSON")]
+    df = spark.createDataFrame(rows, "id string, content string")
+    assert [tuple(r) for r in parse.generated_documents(df, "content", ["a", "source"], 2, ["Cổng"]).select("id", "a", "source").collect()] == [("1", "x", "Cổng")]
+    lines = ['{"a": "x", "b": "y"}', '{"a": "x", "b": "y", "answer": "z"}', '{"a": "x"}', '{"a": "x", "b": " "}', '{"a": 1, "b": "y"}', "[]", "{", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "id int, line string")
+    assert [r.error for r in parse.stored_documents(df, "line", ["a", "b"]).orderBy("id").collect()] == [None, None, "incompatible", "invalid", "invalid", "incompatible", "incompatible", "incompatible"]
+
+
+def test_append_new_keeps_the_first_in_order(spark, tmp_path):
+    rows = spark.createDataFrame([("k", 2), ("k", 1), ("l", 5)], "k string, v int")
+    target = str(tmp_path / "t")
+    assert sinks.append_new(rows, target, "k") == 2
+    assert {tuple(r) for r in spark.read.parquet(target).collect()} == {("k", 1), ("l", 5)}

@@ -159,17 +159,33 @@ def islands(df: DataFrame, keys: list[str], order_by: list[str], partition_by: l
     return out.withColumn("island", F.coalesce("_running", "_carried")).select(*df.columns, "island")
 
 
+#: Chunks whose new parts are joined before those of the whole document.
+PART = 1000
+
+
+def stitched_parts(df: DataFrame, document: list[str], order_by: list[str], text: str, overlap: int = 48, least: int = 32) -> DataFrame:
+    """Adds `_row`, the place of each chunk over all documents, and `_new`, its text without the overlap.
+
+    The overlap depends only on the end of the chunk before, which comes by a join on the place; no task
+    holds the chunks of a document.
+    """
+    rows = materialize(row_index(df, [*document, *order_by], "_row").withColumn("_body", F.coalesce(F.col(text), F.lit(""))), "stitch")
+    before = rows.select((F.col("_row") + 1).alias("_row"), *[F.col(c).alias(f"_doc{i}") for i, c in enumerate(document)], F.expr(f"right(_body, {overlap})").alias("_before"))
+    parts = rows.join(before, "_row", "left")
+    same = F.col("_before").isNotNull()
+    for i, c in enumerate(document):
+        same = same & F.col(c).eqNullSafe(F.col(f"_doc{i}"))
+    parts = parts.withColumn("_cut", F.when(same, suffix_prefix_overlap(F.col("_before"), F.col("_body"), overlap, least)).otherwise(0))
+    return parts.withColumn("_new", F.expr("substring(_body, 1 + _cut)")).select(*df.columns, "_row", "_new")
+
+
 def stitch(df: DataFrame, document: list[str], order_by: list[str], text: str, overlap: int = 48, least: int = 32) -> DataFrame:
     """One row for each document: its chunks joined without the overlap of neighbouring raw chunks.
 
-    The overlap depends only on the chunk before, so each row finds its own new part.
+    Runs of PART chunks are joined first, then the runs of a document; a document that no row can hold is
+    to be used by its stitched_parts.
     """
-    order = Window.partitionBy(*document).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
-    body = F.coalesce(F.col(text), F.lit(""))
-    before = F.lag(body).over(order)
-    parts = df.withColumn("_ord", F.row_number().over(order)).withColumn("_before", before).withColumn("_body", body)
-    new = F.when(F.col("_before").isNull(), F.col("_body")).otherwise(F.expr("substring(_body, 1 + _cut)"))
-    parts = parts.withColumn("_cut", F.when(F.col("_before").isNull(), 0).otherwise(suffix_prefix_overlap(F.col("_before"), F.col("_body"), overlap, least)))
-    parts = parts.withColumn("_new", new)
-    pieces = F.array_sort(F.collect_list(F.struct("_ord", "_new")))
-    return parts.groupBy(*document).agg(F.array_join(F.transform(pieces, lambda x: x["_new"]), "").alias("document"), F.count(F.lit(1)).alias("chunks"))
+    joined = lambda at, new: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, new))), lambda x: x[new]), "")
+    parts = stitched_parts(df, document, order_by, text, overlap, least).withColumn("_part", F.floor(F.col("_row") / PART))
+    runs = parts.groupBy(*document, "_part").agg(joined("_row", "_new").alias("_text"), F.count(F.lit(1)).alias("_n"))
+    return runs.groupBy(*document).agg(joined("_part", "_text").alias("document"), F.sum("_n").alias("chunks"))

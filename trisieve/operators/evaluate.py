@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from trisieve.functions.keys import digest, stable_id
 from trisieve.functions.text import casefold, is_blank, unescaped
 from trisieve.operators.quality import distinct_triple
-from trisieve.operators.select import even_groups, quotas
-from trisieve.runtime import materialize
+from trisieve.operators.select import even_indices, quotas, row_index
+from trisieve.runtime import bounded_join, materialize
 
 
 class ExpectationError(ValueError):
@@ -114,15 +114,15 @@ def holdout_rows(shards: DataFrame, train: DataFrame, requested: int, groups: in
     """
     key = digest(casefold(unescaped(F.col("query"))))
     quota = quotas(requested, groups)
-    parts, names = None, sorted(r.shard for r in shards.select("shard").distinct().collect())  # one name a shard file
-    for shard in names:
-        rows = even_groups(shards.filter(F.col("shard") == shard), order_by, group_size, groups)
-        place = F.dense_rank().over(Window.orderBy("row_group")) - 1
-        places = rows.select("row_group").distinct().withColumn("place", place)  # `groups` rows
-        rows = rows.join(F.broadcast(places), "row_group")
-        parts = rows if parts is None else parts.unionByName(rows)
-    if parts is None:
-        return shards.select("shard", "query", "positive", "negative")
+    # the rows of all shards are numbered in one pass
+    rows = row_index(shards.filter("shard IS NOT NULL"), ["shard", *order_by], "_row")
+    sizes = materialize(rows.groupBy("shard").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")), "shards")
+    picked = sizes.select("shard", "_first", F.posexplode(even_indices(F.ceil(F.col("_n") / F.lit(group_size)), groups)).alias("place", "row_group"))
+    starts = materialize(picked, "places")  # at most `groups` rows a shard
+    at = F.floor((F.col("_row") - F.col("_first")) / F.lit(group_size))
+    numbered = bounded_join(rows, sizes.select("shard", "_first"), ["shard"], by=order_by).withColumn("row_group", at).drop("_first")
+    parts = bounded_join(numbered, starts.drop("_first"), ["shard", "row_group"], by=order_by, how="inner")
+    names = range(sizes.count())
     q, p, n = (unescaped(F.col(c)).alias(c) for c in ("query", "positive", "negative"))
     rows = parts.select("shard", "place", q, p, n).withColumn("key", key)
     rows = rows.filter(distinct_triple(F.col("query"), F.col("positive"), F.col("negative"))).withColumn("rank", digest(F.col("query"), F.col("positive"), F.col("negative")))

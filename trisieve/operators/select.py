@@ -156,7 +156,8 @@ def top_quality(df: DataFrame, n: int) -> DataFrame:
     rows = rows.select("data_id", "source", "title", "topic", a, p, h, q.chunk_index(F.col("data_id")).alias("chunk_index"), q.quality_issues(a, p, h).alias("quality_issues"), q.mentions_title(F.col("title"), p).alias("mentions_title"), q.ends_sentence(p).alias("ends_sentence"), triplet_hash(a, p, h).alias("_triplet"))
     tail = [F.col("chunk_index"), F.desc("mentions_title"), F.desc("ends_sentence"), F.md5("data_id")]
     rows = best_per_key(rows, ["_triplet"], [F.col("quality_issues"), F.col("chunk_index"), F.col("data_id")])
-    rows = rows.withColumn("anchor_rank", F.row_number().over(Window.partitionBy("anchor").orderBy("quality_issues", *tail)))
+    # n rows of an anchor come before any further one of it, so the limit loses none and cuts a hot anchor before the shuffle
+    rows = top_per_key(rows, ["anchor"], [F.col("quality_issues"), *tail], n, rank="anchor_rank")
     return diverse_top(rows, "anchor_rank", "quality_issues", tail, n).drop("_triplet")
 
 

@@ -278,8 +278,12 @@ def _(s, d):
     return read(s, d, "general").select("data_id", F.md5(t.drop_artifacts(c("positive"))).alias("positive"))
 
 
+S_CASEFOLDED = f"SELECT data_id, md5(replace({s_fold('anchor')}, 'ς', 'σ')) AS text FROM triplet"
+S_NFC_STRIPPED = f"SELECT data_id, md5(regexp_replace(nfc_normalize(positive), '^{WS}|{WS}$', '', 'g')) AS text FROM triplet"
+
+
 def _udf_query(name: str, table: str, column: str, change):
-    @query(name)
+    @query(name, {"casefolded_texts": S_CASEFOLDED, "nfc_stripped_texts": S_NFC_STRIPPED}.get(name))
     def _(s, d):
         return read(s, d, table).select("data_id", F.md5(change(c(column))).alias("text"))
 
@@ -337,7 +341,7 @@ def _(s, d):
     return read(s, d, "triplet").select("data_id", F.array_join(labels, "|").alias("labels"))
 
 
-@query("adaptive_sample")
+@query("adaptive_sample", "WITH h AS (SELECT data_id, source, ('0x' || substr(md5(data_id), 1, 8))::BIGINT / 4294967296.0 AS f, count(*) OVER () AS n FROM general) SELECT data_id, source FROM h WHERE f < least(100, greatest(5, 60000.0 / n)) / 100 ORDER BY f, data_id LIMIT 300")
 def _(s, d):
     return select.adaptive_sample(read(s, d, "general").select("data_id", "source"), "data_id", 300)
 
@@ -562,7 +566,16 @@ def _(s, d):
     return docs.select("doc_id", F.explode(chunk.answer_windows(c("text"), starts, F.array(*[F.lit("x")] * 3))).alias("x")).select("doc_id", "x.start", F.md5("x.text").alias("chunk"))
 
 
-@query("chunk_boundary")
+@query("chunk_boundary", f"""
+    WITH RECURSIVE b AS (SELECT doc_id, {S_STRIP('text')} AS body FROM documents WHERE text IS NOT NULL),
+    e(doc_id, body, start, stop) AS (
+        SELECT doc_id, body, 0, 0 FROM b WHERE body <> ''
+        UNION ALL
+        SELECT doc_id, body, CASE WHEN stop = 0 THEN 0 ELSE greatest(stop - 48, start + 1) END AS s,
+            CASE WHEN s + 384 >= length(body) THEN length(body) WHEN regexp_matches(substr(body, s + 1, 384), '\\n|\\. |; ') AND length(regexp_extract(substr(body, s + 1, 384), '(?s)^(.*)(?:\\n|\\. |; )', 1)) >= 192
+                THEN s + length(regexp_extract(substr(body, s + 1, 384), '(?s)^(.*)(?:\\n|\\. |; )', 1)) + 1 ELSE s + 384 END
+        FROM e WHERE stop < length(body))
+    SELECT doc_id, start::INTEGER AS start, md5({S_STRIP('substr(body, start + 1, stop - start)')}) AS chunk FROM e WHERE stop > 0 AND {S_STRIP('substr(body, start + 1, stop - start)')} <> ''""")
 def _(s, d):
     return read(s, d, "documents").select("doc_id", F.explode(chunk.boundary_chunks()(c("text"))).alias("x")).select("doc_id", "x.start", F.md5("x.text").alias("chunk"))
 
@@ -910,7 +923,10 @@ def _(s, d):
     return quality.reason_counts(pipelines.clean_export(read(s, d, "triplet"), ["source", "data_id"]), "reason", "source")
 
 
-@query("hybrid_rows")
+@query("hybrid_rows", f"""
+    WITH x AS (SELECT *, {s_collapse('nfc_normalize(anchor)')} AS a, {s_collapse('nfc_normalize(positive)')} AS p FROM general)
+    SELECT 'hybrid_' || substr(sha256(concat_ws(chr(31), 'general', source, data_id)), 1, 24) AS data_id, source, data_id AS source_data_id, nullif(trim(title), '') AS title FROM x
+    WHERE length(a) BETWEEN 15 AND 420 AND length(p) BETWEEN 80 AND 1400 AND {s_fold('a')} <> {s_fold('p')} AND NOT regexp_matches(a || chr(10) || p, '\\x{{FFFD}}|\\[\\[|\\]\\]|\\{{\\{{|\\}}\\}}')""")
 def _(s, d):
     return pipelines.hybrid_rows(read(s, d, "general"), "general", "rag_qa_gold", False, 100).select("data_id", "source", "source_data_id", "title")
 
