@@ -43,11 +43,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _IGNORED = r"[\p{P}\p{Z}\t-\r\x{1c}-\x{1f}\x{85}]+"
 _CANON = "list_sort([" + ", ".join(f"replace(replace(regexp_replace(lower(coalesce({f}, '')), '{_IGNORED}', '', 'g'), 'ß', 'ss'), 'ς', 'σ')" for f in TEXTS) + "])"
-_FORMS = " UNION ALL ".join(f"SELECT data_id AS id, '{f}' AS field_name, {p4_forms.form_sql(f)} AS form, {p4_forms.stored_sql(f)} AS stored FROM triplet WHERE {f} IS NOT NULL" for f in TEXTS[:2])
+# problem 4, said character by character, apart from the operator's own expressions
+_SAME_SHAPE = [
+    ("АВЕКМНОРСТХЅІЈҮԚԜ", "ABEKMHOPCTXSIJYQW"), ("аеорсухѕіјһԛԝԁ", "aeopcyxsijhqwd"), ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEZHIKMNOPTYXo"), ("ÐƉµ", "ĐĐμ"),
+    ("ЀЁЇӐӒӦѐёїӑӓӧόὸ", "ÈËÏĂÄÖèëïăäöóò"), ("￠￡￢￣￤￥￦", "¢£¬¯¦¥₩"),
+]
+_SHOWS_NOTHING = " OR ".join(["u IN (173, 847, 1564, 4447, 4448, 6068, 6069, 12644, 65279, 65440)", *(f"u BETWEEN {a} AND {b}" for a, b in [(6155, 6158), (8203, 8207), (8234, 8238), (8288, 8303), (65024, 65039), (917504, 921599)])])
+_BLANK = "u IN (32, 133, 160, 5760, 8239, 8287, 12288) OR u BETWEEN 9 AND 13 OR u BETWEEN 28 AND 31 OR u BETWEEN 8192 AND 8202 OR u BETWEEN 8232 AND 8233"
+_CASES = " ".join(f"WHEN strpos('{a}', c) > 0 THEN substr('{b}', strpos('{a}', c), 1)" for a, b in _SAME_SHAPE)
+_FORMS = f"""
+    x AS ({" UNION ALL ".join(f"SELECT data_id AS id, '{f}' AS field_name, {f} AS value FROM triplet WHERE {f} IS NOT NULL" for f in TEXTS[:2])}),
+    p AS (SELECT id, field_name, unnest(string_split(nfc_normalize(value), '')) AS c, generate_subscripts(string_split(nfc_normalize(value), ''), 1) AS pos FROM x),
+    q AS (SELECT *, unicode(c) AS u FROM p WHERE c <> ''),
+    m AS (SELECT id, field_name, string_agg(CASE WHEN {_SHOWS_NOTHING} THEN '' WHEN {_BLANK} THEN ' ' WHEN u BETWEEN 65281 AND 65374 THEN chr((u - 65248)::INTEGER) {_CASES} ELSE c END, '' ORDER BY pos) AS form FROM q GROUP BY ALL),
+    v AS (SELECT id, field_name, trim(regexp_replace(coalesce(nfc_normalize(form), ''), ' +', ' ', 'g')) AS form, trim(regexp_replace(value, '[ \\t\\r\\n]+', ' ', 'g')) AS stored FROM x LEFT JOIN m USING (id, field_name))"""
 
 ORACLE: dict[str, str] = {
-    "p4_found": f"WITH v AS ({_FORMS}) SELECT DISTINCT a.field_name, a.id AS data_id_a, b.id AS data_id_b FROM v a JOIN v b ON a.field_name = b.field_name AND a.form = b.form AND a.stored <> b.stored AND a.id < b.id WHERE a.form <> ''",
-    "p4_forms": f"WITH v AS ({_FORMS}) SELECT id, field_name, form FROM v",
+    "p4_found": f"WITH {_FORMS} SELECT DISTINCT a.field_name, a.id AS data_id_a, b.id AS data_id_b FROM v a JOIN v b ON a.field_name = b.field_name AND a.form = b.form AND a.stored <> b.stored AND a.id < b.id WHERE a.form <> ''",
+    "p4_forms": f"WITH {_FORMS} SELECT id, field_name, form FROM v",
     "p5_found": f"SELECT data_id FROM general WHERE length(positive) > {p5_pieces.LIMIT}",
     "p6_found": f"WITH c AS (SELECT data_id, {_CANON} AS key FROM triplet), k AS (SELECT *, min(data_id) OVER (PARTITION BY key) AS keep_id FROM c) SELECT keep_id, data_id AS copy_id FROM k WHERE data_id <> keep_id",
     "p6_records": f"WITH c AS (SELECT data_id, {_CANON} AS key FROM triplet) SELECT min(data_id) AS keep_id, count(*) AS copies FROM c GROUP BY key",
