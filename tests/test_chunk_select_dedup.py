@@ -1,5 +1,6 @@
+import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -305,3 +306,42 @@ def test_near_duplicates_by_domain_and_neighbours(spark):
     kept = dedup.near_duplicates(df, "id", "text", 0.9, group_col="domain").filter("keep").collect()
     assert sorted(r.id for r in kept) == ["00", "12", "90", "91", "92"]
     assert dedup.near_duplicates(df.limit(0), "id", "text").count() == 0
+
+
+def _scratch_rows(monkeypatch):
+    """The row counts of all scratch tables that `dedup` writes from now on."""
+    rows, write = [], dedup.materialize
+
+    def counted(df, label="t"):
+        table = write(df, label)
+        rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(dedup, "materialize", counted)
+    return rows
+
+
+def _wordy(spark, n=60):
+    """Long texts of few words, some of them almost equal to another."""
+    rng = random.Random(7)
+    names = ["".join(rng.choices("abcdefghiklmnoprstuvyăâêôơư", k=rng.randint(2, 9))) for _ in range(300)]
+    values = [" ".join(rng.choices(names, k=40)) for _ in range(n)]
+    return texts(spark, values + [f"{v} {rng.choice(names)}" for v in values[::2]] + [v.replace(" ", "  ", 3) for v in values[::5]])
+
+
+def test_near_dup_pairs_store_no_gram_of_each_text(spark, monkeypatch):
+    df = _wordy(spark)
+    for name, value in (("SLICE_TEXTS", 40), ("ROWS_PER_SALT", 3), ("BUCKET_ROWS", 30)):
+        monkeypatch.setattr(dedup, name, value, raising=False)
+    rows = _scratch_rows(monkeypatch)
+    got = {(r.a, r.b): r.similarity for r in dedup.similar_texts(df, "id", "text", 0.9).collect()}
+    # about 250 different n-grams are in each of the 102 texts
+    assert max(rows) < 30 * 102
+    counts = {r.id: Counter(p[k : k + n] for w in r.text.split() for p in (f" {w} ",) for n in (3, 4, 5) for k in range(len(p) - n + 1)) for r in df.collect()}
+    dfs = Counter(g for x in counts.values() for g in x)
+    unit = {}
+    for i, x in counts.items():
+        w = {g: tf * (math.log((1 + len(counts)) / (1 + dfs[g])) + 1) for g, tf in x.items() if dfs[g] > 1}
+        unit[i] = {g: v / math.sqrt(sum(y * y for y in w.values())) for g, v in w.items()}
+    want = {(a, b): s for a in unit for b in unit if a < b and (s := sum(v * unit[b].get(g, 0) for g, v in unit[a].items())) >= 0.9}
+    assert len(want) > 40 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)

@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from trisieve.operators.select import best_per_key
-from trisieve.runtime import bounded_join, materialize, pair_join, spread
+from trisieve.runtime import ROWS_PER_SALT, bounded_join, materialize, small, spread
+
+#: Lengths of the character n-grams of the near-duplicate search.
+LOW, HIGH = 3, 5
+
+#: Words of texts that are cut into n-grams at once, and texts or pairs of one task.
+PIECE_WORDS, SLICE_TEXTS = 100_000, 10_000
+
+#: Parts of the n-grams in a sketch; rows and squared rows of the n-grams that share a task.
+SKETCH, BUCKET_ROWS, BUCKET_PAIRS = 64, 50_000, 5_000_000
+
+#: The lower half of a 64-bit number.
+HALF = (1 << 32) - 1
 
 
 def by_digest(df: DataFrame, digest: Column, order_by: list[Column]) -> DataFrame:
@@ -85,49 +97,132 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _gram_counts(low: int, high: int):
-    """How often each character n-gram comes inside the words of a text, each padded by a blank on both sides."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, len(whole), 1000):
-                batch = whole.slice(start, 1000)
-                rows, grams, counts = [], [], []
-                for i, words in enumerate(batch.column(3).to_pylist()):
-                    tf = Counter(padded[k : k + n] for w in words for padded in (f" {w} ",) for n in range(low, high + 1) for k in range(len(padded) - n + 1))
-                    rows.append(np.full(len(tf), i))
-                    grams += tf.keys()
-                    counts += tf.values()
-                take = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(take) for i in range(3)), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], names=["group", "id", "copies", "gram", "tf"])
+def _pieces(batch: pa.RecordBatch | pa.Table, *texts: str) -> Iterator[tuple]:
+    """Slices of a batch with about PIECE_WORDS words each, and the words of each of its text columns."""
+    words = [pc.split_pattern(batch.column(t), " ") for t in texts]
+    words = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in words]
+    if not len(batch):
+        return
+    at = np.cumsum(sum(pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in words)) // PIECE_WORDS
+    starts = np.flatnonzero(np.diff(at, prepend=-1))
+    for i, j in zip(starts, [*starts[1:], len(batch)], strict=True):
+        yield batch.slice(i, j - i), *(x.slice(i, j - i) for x in words)
+
+
+def _counts(words: pa.ListArray, at: dict[str, int], cut: dict[str, np.ndarray], new: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, n-gram, how often) of lists of words, in this order; n-grams are numbered by `at`, unknown ones are left out or numbered."""
+    coded = words.flatten().dictionary_encode()
+    for w in coded.dictionary.to_pylist():
+        if w not in cut:
+            padded = f" {w} "
+            grams = [padded[k : k + n] for n in range(LOW, HIGH + 1) for k in range(len(padded) - n + 1)]
+            cut[w] = np.array([at.setdefault(g, len(at)) for g in grams] if new else [at[g] for g in grams if g in at], dtype=np.int64)
+    known = [cut[w] for w in coded.dictionary.to_pylist()]
+    sizes, flat = np.array([len(x) for x in known], dtype=np.int64), np.concatenate([np.zeros(0, np.int64), *known])
+    word = coded.indices.to_numpy()
+    n = sizes[word]
+    rows = np.repeat(np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False)), n)
+    grams = flat[np.repeat((np.cumsum(sizes) - sizes)[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    keys, tf = np.unique(rows * max(len(at), 1) + grams, return_counts=True)
+    return keys // max(len(at), 1), keys % max(len(at), 1), tf
+
+
+def _gram_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each n-gram of a group, summed over a slice of texts: rows, occurrences, and a mark of its counts by text in two halves."""
+    at: dict[str, int] = {}
+    cut: dict[str, np.ndarray] = {}
+    for batch in batches:
+        for piece, words in _pieces(batch, "text"):
+            if len(at) > 1_000_000:
+                at, cut = {}, {}
+            row, gram, tf = _counts(words, at, cut, True)
+            if not len(row):
+                continue
+            group = piece.column("group").dictionary_encode()
+            key = group.indices.to_numpy()[row].astype(np.int64) * len(at) + gram
+            order = np.argsort(key, kind="stable")
+            row, tf = row[order], tf[order]
+            key, first = np.unique(key[order], return_index=True)
+            copies = piece.column("copies").to_numpy()[row]
+            mark = np.add.reduceat(piece.column("mark").to_numpy().view(np.uint64)[row] * tf.astype(np.uint64), first)
+            names = pa.array(list(at), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [group.dictionary.take(pa.array(key // len(at))), names.take(pa.array(key % len(at))), pa.array(np.add.reduceat(copies, first)), pa.array(np.add.reduceat(copies * tf, first)), pa.array((mark & np.uint64(HALF)).astype(np.int64)), pa.array((mark >> np.uint64(32)).astype(np.int64))],
+                names=["group", "gram", "df", "all", "low", "high"],
+            )
+
+
+def gram_classes(texts: DataFrame, totals: DataFrame, min_df: int, max_features: int) -> DataFrame:
+    """(group, gram, df, w) of (group, id, copies, text): the n-grams that count, with their idf.
+
+    N-grams that every text of the group holds equally often add the same product to a cosine, so the
+    first stands for all of them, with the square root of their number in its weight. They are told by the sum
+    of a 64-bit mark of the texts, each times its count, modulo 2^64.
+    """
+    parts = spread(texts.select("group", "copies", "text", F.xxhash64("id").alias("mark"))).mapInArrow(_gram_table, "`group` string, gram string, df bigint, all bigint, low bigint, high bigint")
+    table = parts.groupBy("group", "gram").agg(*[F.sum(c).alias(c) for c in ("df", "all", "low", "high")]).filter(F.col("df") >= min_df)
+    table = table.withColumn("_at", F.row_number().over(Window.partitionBy("group").orderBy(F.desc("all"), "gram"))).filter(F.col("_at") <= max_features)
+    low, high = F.col("low").bitwiseAND(F.lit(HALF)), (F.col("high") + F.shiftright("low", 32)).bitwiseAND(F.lit(HALF))
+    same = table.groupBy("group", "df", "all", low.alias("low"), high.alias("high")).agg(F.min("gram").alias("gram"), F.count(F.lit(1)).alias("like"))
+    idf = F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1
+    return same.join(totals, "group").select("group", "gram", "df", (idf * F.sqrt("like")).alias("w"))
+
+
+class _Weights:
+    """Unit vectors of texts over a table of n-grams, which are numbered from the most frequent on."""
+
+    def __init__(self, table: pa.Table):
+        table = table.sort_by([("df", "descending"), ("gram", "ascending")])
+        self.names, self.w = table.column("gram").combine_chunks(), table.column("w").to_numpy()
+        self.at, self.cut = {g: i for i, g in enumerate(self.names.to_pylist())}, {}
+
+    def of(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, gram, tf = _counts(words, self.at, self.cut, False)
+        w = tf * self.w[gram]
+        return row, gram, w / np.sqrt(np.bincount(row, w * w, len(words)))[row]
+
+
+def _rare(least: float, schema: pa.Schema):
+    """Of each text the n-grams from the rarest on until the others keep less than `least`, each with a sketch of the text."""
+
+    def run(texts: pa.Table, table: pa.Table) -> pa.Table:
+        found, weights = [], _Weights(table)
+        for piece, words in _pieces(texts, "text"):
+            row, gram, w = weights.of(words)
+            total = np.cumsum(w * w)
+            before = np.concatenate([[0.0], total])[np.searchsorted(row, np.arange(len(piece)))]
+            upto = np.sqrt(total - before[row])
+            bucket = (gram * 2654435761 >> 7) % SKETCH
+            sketch = np.sqrt(np.bincount(row * SKETCH + bucket, w * w, len(piece) * SKETCH))
+            sketch = np.minimum(np.ceil(sketch * 65535), 65535).astype(np.uint16)
+            sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * SKETCH), len(piece), [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+            kept = upto >= least
+            take = pa.array(row[kept])
+            found.append(pa.table([piece.column("group").take(take), weights.names.take(pa.array(gram[kept])), piece.column("id").take(take), pa.array(upto[kept]), sketch.take(take)], schema=schema))
+        return pa.concat_tables(found) if found else schema.empty_table()
 
     return run
 
 
-def char_grams(texts: DataFrame, low: int = 3, high: int = 5) -> DataFrame:
-    """(group, id, copies, gram, tf) of (group, id, copies, text); a text's counts are whole, without a shuffle."""
-    words = F.filter(F.split(F.lower("text"), r"(?U)\s+"), lambda w: w != "")
-    ids = texts.schema["id"].dataType.simpleString()
-    return spread(texts.select("group", "id", "copies", words.alias("words"))).mapInArrow(_gram_counts(low, high), f"`group` string, id {ids}, copies bigint, gram string, tf bigint")
+def _close(least: float):
+    """Pairs of a bucket's n-grams of which neither the product of lengths nor the sketches exclude the cosine `least`."""
 
-
-def _unit(least: float):
-    """Unit vectors by n-gram, and of each the n-grams from the rarest on until the others keep less than `least`."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            grams, weights, rare, upto = [], [], [], []
-            for g, w, df in zip(pdf.pop("gram"), pdf.pop("w"), pdf.pop("df"), strict=True):
-                g, w, df = np.asarray(g), np.asarray(w, dtype=np.float64), np.asarray(df)
-                w = w / np.sqrt((w * w).sum())
-                order = np.lexsort((g, -df))
-                kept = np.sqrt(np.cumsum(w[order] ** 2))
-                rare.append(g[order][kept >= least])
-                upto.append(kept[kept >= least])
-                by_gram = np.argsort(g)
-                grams.append(g[by_gram])
-                weights.append(w[by_gram])
-            yield pdf.assign(grams=grams, w=weights, rare=rare, upto=upto)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).sort_by([("gram", "ascending"), ("id", "ascending")])
+        gram, ids, group = (rows.column(x).combine_chunks() for x in ("gram", "id", "group"))
+        upto, own = rows.column("upto").to_numpy(), rows.column("own").to_numpy()
+        across = bool(rows.column("low")[0].as_py() != rows.column("high")[0].as_py())
+        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, SKETCH).astype(np.float32) / np.float32(65535)
+        starts = np.flatnonzero(np.concatenate([[True], pc.not_equal(gram[1:], gram[:-1]).to_numpy(zero_copy_only=False)]))
+        for start, end in zip(starts, [*starts[1:], len(rows)], strict=True):
+            for i in range(start, end, 1000):
+                here = slice(i, min(i + 1000, end))
+                near = (sketch[here] @ sketch[i:end].T >= least - 1e-4) & (np.multiply.outer(upto[here], upto[i:end]) >= least)
+                if across:
+                    near &= np.not_equal.outer(own[here], own[i:end])
+                a, b = np.nonzero(np.triu(near, 1))
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([group.take(pa.array(a + i)), ids.take(pa.array(a + i)), ids.take(pa.array(b + i))], names=["group", "a", "b"])
 
     return run
 
@@ -145,19 +240,65 @@ def equal_texts(df: DataFrame, id_col: str, text_col: str, group_col: str | None
     return bounded_join(rows, reps, ["group", "same"], by=["id"], how="inner").select("group", "id", "text", "rep")
 
 
-def _cosines(threshold: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sums = []
-            for ga, wa, gb, wb in zip(pdf["grams_a"], pdf["w_a"], pdf["grams_b"], pdf["w_b"], strict=True):
-                _, i, j = np.intersect1d(ga, gb, assume_unique=True, return_indices=True)
-                sums.append(float(np.dot(np.asarray(wa)[i], np.asarray(wb)[j])))
-            out = pdf[["group", "a", "b"]].assign(similarity=sums)
-            yield out[out["similarity"] >= threshold]
+def _cosines(threshold: float, schema: pa.Schema):
+    def run(pairs: pa.Table, table: pa.Table) -> pa.Table:
+        found, weights = [], _Weights(table)
+        for piece, left, right in _pieces(pairs, "text_a", "text_b"):
+            (ra, ga, wa), (rb, gb, wb) = weights.of(left), weights.of(right)
+            _, i, j = np.intersect1d(ra * len(table) + ga, rb * len(table) + gb, assume_unique=True, return_indices=True)
+            sums = np.bincount(ra[i], wa[i] * wb[j], len(piece))
+            take = pa.array(np.flatnonzero(sums >= threshold))
+            found.append(pa.table([*(piece.column(x).take(take) for x in ("group", "a", "b")), pa.array(sums).take(take)], schema=schema))
+        return pa.concat_tables(found) if found else schema.empty_table()
 
     return run
 
 
+def _sliced(df: DataFrame, table: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows and n-gram tables of their groups by group and slice of SLICE_TEXTS rows; each slice gets the table."""
+    sizes = materialize(df.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / SLICE_TEXTS).cast("int").alias("slices")), "sizes")
+    rows = bounded_join(df, sizes, ["group"], by=by, how="inner").withColumn("slice", F.pmod(F.xxhash64(*by), "slices").cast("int")).drop("slices")
+    tables = bounded_join(table, sizes, ["group"], by=["gram"], how="inner").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    return rows, tables
+
+
+def _candidates(reps: DataFrame, table: DataFrame, least: float, ids: pa.DataType) -> DataFrame:
+    """(group, a, b), a < b: the pairs of texts whose cosine may reach `least`."""
+    schema = pa.schema([("group", pa.string()), ("gram", pa.string()), ("id", ids), ("upto", pa.float64()), ("sketch", pa.binary())])
+    kind = reps.schema["id"].dataType.simpleString()
+    rows, tables = _sliced(reps.select("group", "id", "text"), table, ["id"])
+    on = ["group", "slice"]
+    prefix = materialize(rows.groupBy(*on).cogroup(tables.groupBy(*on)).applyInArrow(_rare(least, schema), f"`group` string, gram string, id {kind}, upto double, sketch binary"), "prefix")
+    counts = materialize(prefix.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "counts")
+    loads = counts.groupBy("group").agg(F.ceil(F.greatest(F.sum("rows") / BUCKET_ROWS, F.sum(F.col("rows").cast("double") * F.col("rows")) / BUCKET_PAIRS)).cast("int").alias("buckets"))
+    slices = F.ceil(F.col("rows") / ROWS_PER_SALT).cast("int")
+    # a hot n-gram has its own buckets, one for each two of its slices
+    route = materialize(counts.join(loads, "group").select("group", "gram", slices.alias("slices"), F.pmod(F.xxhash64("gram"), "buckets").cast("int").alias("bucket"), F.when(slices > 1, F.col("gram")).otherwise("").alias("hot")), "route")
+    rows = bounded_join(prefix, route, ["group", "gram"], by=["id"], how="inner").withColumn("own", F.pmod(F.xxhash64("id"), "slices").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    rows = rows.select("group", "gram", "id", "upto", "sketch", "own", "low", "high", "bucket", "hot")
+    return rows.groupBy("group", "bucket", "hot", "low", "high").applyInArrow(_close(least), f"`group` string, a {kind}, b {kind}").distinct()
+
+
+def _similar(texts: DataFrame, threshold: float, min_df: int, max_features: int) -> DataFrame:
+    """(group, a, b, similarity) of materialized equal_texts, see similar_texts."""
+    totals = materialize(texts.groupBy("group").agg(F.count(F.lit(1)).alias("total")), "totals")
+    words = F.array_join(F.filter(F.split(F.lower("text"), r"(?U)\s+"), lambda w: w != ""), " ")
+    reps = materialize(texts.groupBy("group", "rep").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")).select("group", F.col("rep").alias("id"), "copies", words.alias("text")), "reps")
+    table = materialize(gram_classes(reps, totals, min_df, max_features), "idf")
+    ids, kind = to_arrow_type(reps.schema["id"].dataType), reps.schema["id"].dataType.simpleString()
+    pairs = materialize(_candidates(reps, table, threshold - 1e-9, ids), "pairs")
+    need = materialize(pairs.select("group", F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("_needed", F.lit(True)), "need")
+    need = F.broadcast(need) if small(need) else need
+    used = materialize(reps.join(need, ["group", "id"], "left_semi").select("group", "id", "text"), "used")
+    half = lambda x: used.select("group", F.col("id").alias(x), F.col("text").alias(f"text_{x}"))
+    whole = pairs.join(half("a"), ["group", "a"]).join(half("b"), ["group", "b"])
+    rows, tables = _sliced(whole, table, ["a", "b"])
+    schema = pa.schema([("group", pa.string()), ("a", ids), ("b", ids), ("similarity", pa.float64())])
+    on = ["group", "slice"]
+    return rows.groupBy(*on).cogroup(tables.groupBy(*on)).applyInArrow(_cosines(threshold, schema), f"`group` string, a {kind}, b {kind}, similarity double")
+
+
 def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95, group_col: str | None = None, min_df: int = 2, max_features: int = 100_000, neighbours: int | None = None) -> DataFrame:
     """(group, a, b, similarity), a < b: different texts of a group with a TF-IDF cosine of at least the threshold.
 
@@ -168,30 +309,13 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
 
     The join takes the n-grams of a text from the rarest on. Of the rarest n-gram that a pair shares, neither
     text shares any rarer one, so by the Cauchy-Schwarz inequality the cosine is at most the product of the
-    lengths that both keep from there on. A pair is a candidate if one shared n-gram has a product of at least
-    the threshold, so none is lost. N-grams of very many texts are joined in slices; the exact cosine decides.
+    lengths that both keep from there on; over any split of the n-grams it is at most the sum of the products of
+    the lengths in each part (the sketch). A pair is a candidate if for one shared n-gram both reach the threshold,
+    so none is lost. The exact cosine decides, from vectors that are made again of the candidates' texts:
+    no table holds an n-gram of each text.
     """
     texts = materialize(equal_texts(df, id_col, text_col, group_col), "equal")
-    ids = texts.schema["id"].dataType.simpleString()
-    totals = materialize(texts.groupBy("group").agg(F.count(F.lit(1)).alias("total")), "totals")
-    reps = texts.groupBy("group", "rep").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
-    grams = materialize(char_grams(reps.withColumnRenamed("rep", "id")), "grams")
-    table = grams.groupBy("group", "gram").agg(F.sum("copies").alias("df"), F.sum(F.col("tf") * F.col("copies")).alias("all")).filter(F.col("df") >= min_df)
-    table = table.withColumn("_at", F.row_number().over(Window.partitionBy("group").orderBy(F.desc("all"), "gram"))).filter(F.col("_at") <= max_features)
-    idf = F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1
-    table = materialize(table.join(totals, "group").select("group", "gram", "df", idf.alias("idf")), "idf")
-    weighted = bounded_join(grams, table, ["group", "gram"], by=["id"], how="inner").select("group", "id", F.xxhash64("gram").alias("gram"), "df", (F.col("tf") * F.col("idf")).alias("w"))
-    least = threshold - 1e-9
-    lists = weighted.groupBy("group", "id").agg(F.collect_list(F.struct("gram", "w", "df")).alias("v")).select("group", "id", "v.gram", "v.w", "v.df")
-    packed = materialize(lists.mapInPandas(_unit(least), f"`group` string, id {ids}, grams array<bigint>, w array<double>, rare array<bigint>, upto array<double>"), "packed")
-    prefix = materialize(packed.select("group", "id", F.explode(F.arrays_zip("rare", "upto")).alias("x")).select("group", "id", F.col("x.rare").alias("gram"), "x.upto"), "prefix")
-    sizes = prefix.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    side = lambda x: prefix.select("group", "gram", F.col("id").alias(x), F.col("upto").alias(f"upto_{x}"))
-    joined = pair_join(side("a"), side("b"), ["group", "gram"], sizes, "rows", by=["a"]).filter((F.col("a") < F.col("b")) & (F.col("upto_a") * F.col("upto_b") >= least))
-    pairs = joined.select("group", "a", "b").distinct()
-    half = lambda x: packed.select("group", F.col("id").alias(x), F.col("grams").alias(f"grams_{x}"), F.col("w").alias(f"w_{x}"))
-    sums = pairs.join(half("a"), ["group", "a"]).join(half("b"), ["group", "b"]).select("group", "a", "b", "grams_a", "w_a", "grams_b", "w_b")
-    found = sums.mapInPandas(_cosines(threshold), f"`group` string, a {ids}, b {ids}, similarity double")
+    found = _similar(texts, threshold, min_df, max_features)
     if neighbours is None:
         return found
     found = materialize(found, "links")
