@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trisieve.operators import chunk, dedup, evaluate, lexical, select, upsert, vectors
 from trisieve.plans import catalog
+from trisieve.runtime import bounded_join, materialize
 
 
 def texts(spark, values):
@@ -345,3 +346,28 @@ def test_near_dup_pairs_store_no_gram_of_each_text(spark, monkeypatch):
         unit[i] = {g: v / math.sqrt(sum(y * y for y in w.values())) for g, v in w.items()}
     want = {(a, b): s for a in unit for b in unit if a < b and (s := sum(v * unit[b].get(g, 0) for g, v in unit[a].items())) >= 0.9}
     assert len(want) > 40 and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    stars = spark.range(400).select(F.concat(F.lit("o"), "id").alias("a"), F.concat(F.lit("c"), F.col("id") % 7).alias("b"))
+    rows = _scratch_rows(monkeypatch)
+    got = {(r.node, r.component) for r in dedup.components(stars).collect()}
+    assert got == {(f"o{i}", f"c{i % 7}") for i in range(400)} | {(f"c{i}", f"c{i}") for i in range(7)} and len(rows) == 1
+
+
+def test_components_slice_hot_nodes_only(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "ROWS_PER_SALT", 5)
+    rng = random.Random(3)
+    edges = [(rng.randint(0, 150), rng.randint(0, 150)) for _ in range(70)] + [(90, i) for i in range(40)] + [(i, i + 1) for i in range(200, 240)]
+    parent = {x: x for e in edges for x in e}
+    for _ in range(300):
+        for a, b in edges:
+            parent[a] = parent[b] = min(parent[a], parent[b])
+    got = {r.node: r.component for r in dedup.components(spark.createDataFrame(edges, "a int, b int")).collect()}
+    assert got == {n: c for n, c in parent.items() if n in {x for a, b in edges if a != b for x in (a, b)}}
+
+
+def test_bounded_join_repeats_no_broadcast(spark):
+    right = materialize(spark.range(100_001).select("id", (F.col("id") % 3).alias("x")))
+    plan = bounded_join(spark.range(10), right, ["id"], by=["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan

@@ -71,28 +71,33 @@ def greedy_keep(df: DataFrame, id_col: str, keys: dict[str, Column], order_by: l
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over the edges; nodes without an edge are absent.
 
-    Alternating large-star and small-star steps; the number of rounds grows as the logarithm of the size.
+    Alternating large-star and small-star steps until each node is the smallest of its neighbours or has one
+    neighbour, the smallest; the number of rounds grows as the logarithm of the size. Only hot nodes are sliced.
     """
     now = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct(), "edges")
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else pairs
-        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        joined = bounded_join(both, least, ["u"], by=["v"], how="inner")
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
+        slices = F.ceil(F.col("n") / ROWS_PER_SALT).cast("int")
+        hot = materialize(least.filter(F.col("n") > ROWS_PER_SALT).select("u", slices.alias("slices")), "hot")
+        hot = F.broadcast(hot) if small(hot) else hot
+        sliced = both.join(hot, "u", "left").withColumn("slice", F.pmod(F.xxhash64("v"), F.coalesce("slices", F.lit(1))).cast("int"))
+        # "merge": Spark goes by compressed bytes and would broadcast what is far larger in memory
+        right = least.select("u", "m", F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice")).hint("merge")
+        joined = sliced.join(right, ["u", "slice"])
         if large:
             out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         return materialize(out.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "star")
 
-    mark = lambda x: x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    before = mark(now)
-    while True:
+    def done(pairs: DataFrame) -> bool:
+        ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(pairs.select("v", F.lit(0), F.lit(1)).toDF("node", "up", "down"))
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1").isEmpty()
+
+    while not done(now):
         now = star(star(now, True), False)
-        after = mark(now)
-        if after == before:
-            break
-        before = after
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

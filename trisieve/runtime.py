@@ -96,13 +96,14 @@ def bounded_join(left: DataFrame, right: DataFrame, on: list[str], by: list[str]
 
     The right side is counted: up to BROADCAST_ROWS rows and BROADCAST_BYTES it is broadcast, beyond that every
     right row is repeated once per salt, so a left key with a third of all rows spreads over `salts` tasks. The
-    salt is a hash of the left columns `by`, so that a task run again gives the same rows.
+    salt is a hash of the left columns `by`, so that a task run again gives the same rows. The repeated side is merged:
+    Spark goes by its compressed bytes and would broadcast through the driver what is far larger in memory.
     """
     if small(right):
         return left.join(F.broadcast(right), on, how)
     salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     left = left.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
-    return left.join(salted, [*on, "_salt"], how).drop("_salt")
+    return left.join(salted.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
 def pair_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame, size: str, by: list[str]) -> DataFrame:
