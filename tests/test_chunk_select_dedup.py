@@ -371,3 +371,12 @@ def test_bounded_join_repeats_no_broadcast(spark):
     right = materialize(spark.range(100_001).select("id", (F.col("id") % 3).alias("x")))
     plan = bounded_join(spark.range(10), right, ["id"], by=["id"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_near_dup_components_digest_the_texts_once(spark, monkeypatch):
+    df, calls, equal = _wordy(spark), [], dedup.equal_texts
+    monkeypatch.setattr(dedup, "equal_texts", lambda *a, **k: calls.append(a) or equal(*a, **k))
+    rows = _scratch_rows(monkeypatch)
+    got = {r.id: r.component for r in dedup.near_duplicates(df, "id", "text", 0.9).collect()}
+    assert len(calls) == 1 and max(rows) < 30 * 102
+    assert len(got) == 102 and all(got[i] == i for i in range(60)) and all(got[60 + i] == 2 * i for i in range(30)) and all(got[90 + i] == 5 * i for i in range(12))

@@ -319,7 +319,10 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     so none is lost. The exact cosine decides, from vectors that are made again of the candidates' texts:
     no table holds an n-gram of each text.
     """
-    texts = materialize(equal_texts(df, id_col, text_col, group_col), "equal")
+    return _links(materialize(equal_texts(df, id_col, text_col, group_col), "equal"), threshold, min_df, max_features, neighbours)
+
+
+def _links(texts: DataFrame, threshold: float, min_df: int, max_features: int, neighbours: int | None) -> DataFrame:
     found = _similar(texts, threshold, min_df, max_features)
     if neighbours is None:
         return found
@@ -334,8 +337,9 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
 
     Equal texts of a group are one near-duplicate group; rows without a text are none.
     """
-    links = similar_texts(df, id_col, text_col, threshold, group_col, neighbours=neighbours).select("a", "b")
+    texts = materialize(equal_texts(df, id_col, text_col, group_col), "equal")
+    links = _links(texts, threshold, 2, 100_000, neighbours).select("a", "b")
     groups = materialize(components(links).select(F.col("node").alias("rep"), F.col("component").alias("_component")), "groups")
-    members = equal_texts(df, id_col, text_col, group_col).select(F.col("id").alias(id_col), "rep")
+    members = texts.select(F.col("id").alias(id_col), "rep")
     found = bounded_join(members, groups, ["rep"], by=[id_col]).select(id_col, F.coalesce("_component", "rep").alias("component"))
     return df.join(found, id_col, "left").withColumn("component", F.coalesce("component", F.col(id_col))).withColumn("keep", F.col("component") == F.col(id_col))
