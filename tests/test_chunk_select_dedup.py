@@ -373,6 +373,18 @@ def test_bounded_join_repeats_no_broadcast(spark):
     assert "BroadcastHashJoin" not in plan
 
 
+def test_near_dup_neighbours_store_no_gram_of_each_text(spark, monkeypatch):
+    df = _wordy(spark)
+    rows = _scratch_rows(monkeypatch)
+    near = {(r.a, r.b) for r in dedup.similar_texts(df, "id", "text", 0.9, neighbours=1).collect()}
+    assert max(rows) < 30 * 102
+    best = {}
+    for r in dedup.similar_texts(df, "id", "text", 0.9).collect():
+        for x, y in ((r.a, r.b), (r.b, r.a)):
+            best[x] = max(best.get(x, (-1.0, 0)), (round(r.similarity, 9), -y))
+    assert near == {(min(x, -y), max(x, -y)) for x, (_, y) in best.items()}
+
+
 def test_near_dup_components_digest_the_texts_once(spark, monkeypatch):
     df, calls, equal = _wordy(spark), [], dedup.equal_texts
     monkeypatch.setattr(dedup, "equal_texts", lambda *a, **k: calls.append(a) or equal(*a, **k))
