@@ -385,6 +385,30 @@ def test_near_dup_neighbours_store_no_gram_of_each_text(spark, monkeypatch):
     assert near == {(min(x, -y), max(x, -y)) for x, (_, y) in best.items()}
 
 
+def test_near_dup_neighbours_repeat_no_text_and_no_gram(spark, monkeypatch):
+    df, sides, join = _wordy(spark), [], dedup.bounded_join
+    want = {(r.a, r.b) for r in dedup.similar_texts(df, "id", "text", 0.9, neighbours=1).collect()}
+
+    def counted(left, right, *args, **kwargs):
+        sides.append(right.count())
+        return join(left, right, *args, **kwargs)
+
+    monkeypatch.setattr(dedup, "bounded_join", counted)
+    assert {(r.a, r.b) for r in dedup.similar_texts(df, "id", "text", 0.9, neighbours=1).collect()} == want
+    # beyond the limits of a broadcast a right side is shuffled once for each salt: here they hold a row a group, none a text or an n-gram
+    assert len(want) > 20 and max(sides) <= 1
+
+
+def test_sketches_keep_the_bound():
+    rng = np.random.default_rng(5)
+    values = rng.random((50, dedup.SKETCH)) ** 3
+    values /= np.linalg.norm(values, axis=1, keepdims=True)
+    values[0], values[1] = 0, np.eye(dedup.SKETCH)[3]
+    codes = dedup._packed(values).to_pylist()
+    got = dedup._unpacked(codes)
+    assert len(codes[0]) == dedup.SKETCH + 1 and (got >= values - 1e-6).all() and (got <= values + 0.005).all()
+
+
 def test_near_dup_components_digest_the_texts_once(spark, monkeypatch):
     df, calls, equal = _wordy(spark), [], dedup.equal_texts
     monkeypatch.setattr(dedup, "equal_texts", lambda *a, **k: calls.append(a) or equal(*a, **k))

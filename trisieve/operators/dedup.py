@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from trisieve.operators.select import best_per_key
-from trisieve.runtime import ROWS_PER_SALT, bounded_join, materialize, small, spread
+from trisieve.runtime import BROADCAST_ROWS, ROWS_PER_SALT, bounded_join, materialize, small, spread
 
 #: Lengths of the character n-grams of the near-duplicate search.
 LOW, HIGH = 3, 5
@@ -178,8 +178,8 @@ class _Weights:
 
     def __init__(self, table: pa.Table):
         table = table.sort_by([("df", "descending"), ("gram", "ascending")])
-        self.names, self.w = table.column("gram").combine_chunks(), table.column("w").to_numpy()
-        self.at, self.cut = {g: i for i, g in enumerate(self.names.to_pylist())}, {}
+        self.w = table.column("w").to_numpy()
+        self.at, self.cut = {g: i for i, g in enumerate(table.column("gram").to_pylist())}, {}
 
     def of(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row, gram, tf = _counts(words, self.at, self.cut, False)
@@ -187,8 +187,20 @@ class _Weights:
         return row, gram, w / np.sqrt(np.bincount(row, w * w, len(words)))[row]
 
 
+def _packed(values: np.ndarray) -> pa.Array:
+    """Rows of numbers from 0 to 1 in a byte each, rounded up, behind a byte for the scale of the row."""
+    scale = np.clip(np.ceil(values.max(axis=1, initial=0, keepdims=True) * 255), 1, 255)
+    codes = np.concatenate([scale, np.minimum(np.ceil(values * 65025 / scale), 255)], axis=1).astype(np.uint8)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(codes.tobytes())]).cast(pa.binary())
+
+
+def _unpacked(codes: list[bytes]) -> np.ndarray:
+    codes = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1).astype(np.float32)
+    return codes[:, 1:] * (codes[:, :1] / np.float32(65025))
+
+
 def _rare(least: float, schema: pa.Schema):
-    """Of each text the n-grams from the rarest on until the others keep less than `least`, each with a sketch of the text."""
+    """Of each text the n-grams (by their numbers in the table) from the rarest on until the others keep less than `least`, each with a sketch of the text."""
 
     def run(texts: pa.Table, table: pa.Table) -> pa.Table:
         found, weights = [], _Weights(table)
@@ -198,12 +210,10 @@ def _rare(least: float, schema: pa.Schema):
             before = np.concatenate([[0.0], total])[np.searchsorted(row, np.arange(len(piece)))]
             upto = np.sqrt(total - before[row])
             bucket = (gram * 2654435761 >> 7) % SKETCH
-            sketch = np.sqrt(np.bincount(row * SKETCH + bucket, w * w, len(piece) * SKETCH))
-            sketch = np.minimum(np.ceil(sketch * 65535), 65535).astype(np.uint16)
-            sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * SKETCH), len(piece), [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+            sketch = _packed(np.sqrt(np.bincount(row * SKETCH + bucket, w * w, len(piece) * SKETCH)).reshape(-1, SKETCH))
             kept = upto >= least
             take = pa.array(row[kept])
-            found.append(pa.table([piece.column("group").take(take), weights.names.take(pa.array(gram[kept])), piece.column("id").take(take), pa.array(upto[kept]), sketch.take(take)], schema=schema))
+            found.append(pa.table([piece.column("group").take(take), pa.array(gram[kept]), piece.column("id").take(take), pa.array(upto[kept]), sketch.take(take)], schema=schema))
         return pa.concat_tables(found) if found else schema.empty_table()
 
     return run
@@ -217,7 +227,7 @@ def _close(least: float):
         gram, ids, group = (rows.column(x).combine_chunks() for x in ("gram", "id", "group"))
         upto, own = rows.column("upto").to_numpy(), rows.column("own").to_numpy()
         across = bool(rows.column("low")[0].as_py() != rows.column("high")[0].as_py())
-        sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint16).reshape(-1, SKETCH).astype(np.float32) / np.float32(65535)
+        sketch = _unpacked(rows.column("sketch").to_pylist())
         starts = np.flatnonzero(np.concatenate([[True], pc.not_equal(gram[1:], gram[:-1]).to_numpy(zero_copy_only=False)]))
         for start, end in zip(starts, [*starts[1:], len(rows)], strict=True):
             for i in range(start, end, 1000):
@@ -232,15 +242,19 @@ def _close(least: float):
     return run
 
 
+def _texts(df: DataFrame, id_col: str, text_col: str, group_col: str | None) -> DataFrame:
+    """(group, id, text): null ids and texts take no part; a null group is a group of its own."""
+    group = F.lit("") if group_col is None else F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
+    return df.select(group.alias("group"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
+
+
 def equal_texts(df: DataFrame, id_col: str, text_col: str, group_col: str | None = None) -> DataFrame:
     """(group, id, text, rep): each text with the smallest id of the same text in its group.
 
-    Null ids and texts take no part; a null group is a group of its own. The text meets its representative
-    by a digest, so a text that a third of all rows hold is aggregated before it is shuffled.
+    The text meets its representative by a digest, so a text that a third of all rows hold is aggregated before
+    it is shuffled.
     """
-    group = F.lit("") if group_col is None else F.coalesce(F.concat(F.lit("="), F.col(group_col).cast("string")), F.lit(""))
-    rows = df.select(group.alias("group"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL AND text IS NOT NULL")
-    rows = materialize(rows.withColumn("same", F.unhex(F.sha2("text", 256))), "texts")
+    rows = materialize(_texts(df, id_col, text_col, group_col).withColumn("same", F.unhex(F.sha2("text", 256))), "texts")
     reps = materialize(rows.groupBy("group", "same").agg(F.min("id").alias("rep")), "reps")
     return bounded_join(rows, reps, ["group", "same"], by=["id"], how="inner").select("group", "id", "text", "rep")
 
@@ -267,37 +281,37 @@ def _sliced(df: DataFrame, table: DataFrame, by: list[str]) -> tuple[DataFrame,
     return rows, tables
 
 
-def _candidates(reps: DataFrame, table: DataFrame, least: float, ids: pa.DataType) -> DataFrame:
-    """(group, a, b), a < b: the pairs of texts whose cosine may reach `least`."""
-    schema = pa.schema([("group", pa.string()), ("gram", pa.string()), ("id", ids), ("upto", pa.float64()), ("sketch", pa.binary())])
-    kind = reps.schema["id"].dataType.simpleString()
-    rows, tables = _sliced(reps.select("group", "id", "text"), table, ["id"])
+def _candidates(reps: DataFrame, table: DataFrame, least: float) -> DataFrame:
+    """(group, a, b), a < b: the pairs of texts, by their numbers, whose cosine may reach `least`."""
+    schema = pa.schema([("group", pa.string()), ("gram", pa.int64()), ("id", pa.int64()), ("upto", pa.float64()), ("sketch", pa.binary())])
+    rows, tables = _sliced(reps.select("group", F.col("n").alias("id"), "text"), table, ["id"])
     on = ["group", "slice"]
-    prefix = materialize(rows.groupBy(*on).cogroup(tables.groupBy(*on)).applyInArrow(_rare(least, schema), f"`group` string, gram string, id {kind}, upto double, sketch binary"), "prefix")
-    counts = materialize(prefix.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "counts")
-    loads = counts.groupBy("group").agg(F.ceil(F.greatest(F.sum("rows") / BUCKET_ROWS, F.sum(F.col("rows").cast("double") * F.col("rows")) / BUCKET_PAIRS)).cast("int").alias("buckets"))
-    slices = F.ceil(F.col("rows") / ROWS_PER_SALT).cast("int")
+    prefix = materialize(rows.groupBy(*on).cogroup(tables.groupBy(*on)).applyInArrow(_rare(least, schema), "`group` string, gram bigint, id bigint, upto double, sketch binary"), "prefix")
+    counts = materialize(prefix.groupBy("group", "gram").agg(F.count(F.lit(1)).alias("rows")), "counts")
+    loads = materialize(counts.groupBy("group").agg(F.ceil(F.greatest(F.sum("rows") / BUCKET_ROWS, F.sum(F.col("rows").cast("double") * F.col("rows")) / BUCKET_PAIRS)).cast("int").alias("buckets")), "loads")
+    # only the groups and the hot n-grams are joined: a table of all n-grams would be repeated, and the sketches shuffled twice
+    hot = materialize(counts.filter(F.col("rows") > ROWS_PER_SALT).select("group", "gram", F.ceil(F.col("rows") / ROWS_PER_SALT).cast("int").alias("slices")), "hot")
+    rows = bounded_join(bounded_join(prefix, loads, ["group"], by=["id"], how="inner"), hot, ["group", "gram"], by=["id"]).withColumn("slices", F.coalesce("slices", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), "slices").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     # a hot n-gram has its own buckets, one for each two of its slices
-    route = materialize(counts.join(loads, "group").select("group", "gram", slices.alias("slices"), F.pmod(F.xxhash64("gram"), "buckets").cast("int").alias("bucket"), F.when(slices > 1, F.col("gram")).otherwise("").alias("hot")), "route")
-    rows = bounded_join(prefix, route, ["group", "gram"], by=["id"], how="inner").withColumn("own", F.pmod(F.xxhash64("id"), "slices").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    rows = rows.select("group", "gram", "id", "upto", "sketch", "own", "low", "high", "bucket", "hot")
-    return rows.groupBy("group", "bucket", "hot", "low", "high").applyInArrow(_close(least), f"`group` string, a {kind}, b {kind}").distinct()
+    rows = rows.select("group", "gram", "id", "upto", "sketch", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.pmod(F.xxhash64("gram"), "buckets").cast("int").alias("bucket"), F.when(F.col("slices") > 1, F.col("gram")).otherwise(-1).alias("hot"))
+    return rows.groupBy("group", "bucket", "hot", "low", "high").applyInArrow(_close(least), "`group` string, a bigint, b bigint").distinct()
 
 
 def _similar(texts: DataFrame, threshold: float, min_df: int, max_features: int) -> DataFrame:
-    """(group, a, b, similarity) of materialized equal_texts, see similar_texts."""
-    totals = materialize(texts.groupBy("group").agg(F.count(F.lit(1)).alias("total")), "totals")
+    """(group, a, b, similarity) of the different texts (group, id, copies, text), see similar_texts."""
     words = F.array_join(F.filter(F.split(F.lower("text"), r"(?U)\s+"), lambda w: w != ""), " ")
-    reps = materialize(texts.groupBy("group", "rep").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")).select("group", F.col("rep").alias("id"), "copies", words.alias("text")), "reps")
+    reps = materialize(texts.select("group", "id", "copies", words.alias("text"), F.monotonically_increasing_id().alias("n")), "reps")
+    totals = materialize(reps.groupBy("group").agg(F.sum("copies").alias("total")), "totals")
     table = materialize(gram_classes(reps, totals, min_df, max_features), "idf")
     ids, kind = to_arrow_type(reps.schema["id"].dataType), reps.schema["id"].dataType.simpleString()
-    pairs = materialize(_candidates(reps, table, threshold - 1e-9, ids), "pairs")
-    need = materialize(pairs.select("group", F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("_needed", F.lit(True)), "need")
-    need = F.broadcast(need) if small(need) else need
-    used = materialize(reps.join(need, ["group", "id"], "left_semi").select("group", "id", "text"), "used")
-    half = lambda x: used.select("group", F.col("id").alias(x), F.col("text").alias(f"text_{x}"))
-    whole = pairs.join(half("a"), ["group", "a"]).join(half("b"), ["group", "b"])
+    pairs = materialize(_candidates(reps, table, threshold - 1e-9), "pairs")
+    need = materialize(pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct(), "need")
+    # rows of one number: ten times as many as of others may be broadcast, so that the texts stay where they are
+    need = F.broadcast(need) if small(need, 10 * BROADCAST_ROWS) else need
+    used = materialize(reps.join(need, "n", "left_semi").select("n", "id", "text"), "used")
+    half = lambda x: used.select(F.col("n").alias(x), F.col("id").alias(f"id_{x}"), F.col("text").alias(f"text_{x}"))
+    whole = pairs.join(half("a"), "a").join(half("b"), "b").select("group", F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "text_a", "text_b")
     rows, tables = _sliced(whole, table, ["a", "b"])
     schema = pa.schema([("group", pa.string()), ("a", ids), ("b", ids), ("similarity", pa.float64())])
     on = ["group", "slice"]
@@ -307,7 +321,7 @@ def _similar(texts: DataFrame, threshold: float, min_df: int, max_features: int)
 def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.95, group_col: str | None = None, min_df: int = 2, max_features: int = 100_000, neighbours: int | None = None) -> DataFrame:
     """(group, a, b, similarity), a < b: different texts of a group with a TF-IDF cosine of at least the threshold.
 
-    a and b are the smallest ids of their texts (see equal_texts); copies of a text are not spelled out, but
+    a and b are the smallest ids of their texts; copies of a text are not spelled out, but
     count in the weights. Character n-grams, smooth idf, unit length; of the n-grams in `min_df` texts of the
     group the most frequent `max_features`. That cap and `neighbours` (only each text's k nearest, ties to the
     smaller id) belong to the result, as the reference has them; without `neighbours` no link is lost.
@@ -319,7 +333,9 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     so none is lost. The exact cosine decides, from vectors that are made again of the candidates' texts:
     no table holds an n-gram of each text.
     """
-    return _links(materialize(equal_texts(df, id_col, text_col, group_col), "equal"), threshold, min_df, max_features, neighbours)
+    # the texts are aggregated, not joined with their representatives: nothing here needs the copies' ids
+    texts = _texts(df, id_col, text_col, group_col).groupBy("group", "text").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    return _links(texts, threshold, min_df, max_features, neighbours)
 
 
 def _links(texts: DataFrame, threshold: float, min_df: int, max_features: int, neighbours: int | None) -> DataFrame:
@@ -338,7 +354,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, threshold: float
     Equal texts of a group are one near-duplicate group; rows without a text are none.
     """
     texts = materialize(equal_texts(df, id_col, text_col, group_col), "equal")
-    links = _links(texts, threshold, 2, 100_000, neighbours).select("a", "b")
+    different = texts.groupBy("group", "rep").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")).withColumnRenamed("rep", "id")
+    links = _links(different, threshold, 2, 100_000, neighbours).select("a", "b")
     groups = materialize(components(links).select(F.col("node").alias("rep"), F.col("component").alias("_component")), "groups")
     members = texts.select(F.col("id").alias(id_col), "rep")
     found = bounded_join(members, groups, ["rep"], by=[id_col]).select(id_col, F.coalesce("_component", "rep").alias("component"))

@@ -85,10 +85,10 @@ def _splits(df: DataFrame, cores: int) -> int:
     return total
 
 
-def small(df: DataFrame) -> bool:
-    """Whether a materialized table may be broadcast."""
+def small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether a materialized table may be broadcast, with at most BROADCAST_ROWS or the given number of rows."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= BROADCAST_BYTES and df.count() <= BROADCAST_ROWS
+    return size <= BROADCAST_BYTES and df.count() <= (BROADCAST_ROWS if rows is None else rows)
 
 
 def bounded_join(left: DataFrame, right: DataFrame, on: list[str], by: list[str], how: str = "left", salts: int = 16) -> DataFrame:
